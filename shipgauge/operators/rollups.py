@@ -27,27 +27,39 @@ def quantile(column: str, p: float, cfg: PipelineConfig = DEFAULT) -> Column:
     return F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{column}`)")
 
 
-def dora_daily(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """Delivery metrics per (date_day, team): deployments, lead time mean /
-    p50 / p95 over merged PRs, CI runs, failures and failure rate, incidents
-    opened and closed."""
-    pr_lead = "_pr_lead_time"
-    src = stg.select(
+_PR_LEAD = "_pr_lead_time"
+
+
+def dora_inputs(stg: DataFrame) -> DataFrame:
+    """The columns the delivery rollup reads, with ``date_day``."""
+    return stg.select(
         F.col("event_day").alias("date_day"), "team",
+        "event_timestamp",
         "is_deployment", "is_ci_run", "is_ci_failure", "is_incident_opened", "is_incident_closed",
-        F.when(F.col("is_pr_merged"), F.col("lead_time_days")).alias(pr_lead),
+        F.when(F.col("is_pr_merged"), F.col("lead_time_days")).alias(_PR_LEAD),
     )
-    return src.groupBy("date_day", "team").agg(
+
+
+def dora_aggregates(cfg: PipelineConfig = DEFAULT) -> list[Column]:
+    """Aggregates of the delivery rollup over :func:`dora_inputs` rows."""
+    return [
         F.count_if("is_deployment").alias("deployment_count"),
-        F.avg(pr_lead).alias("avg_lead_time_days"),
-        quantile(pr_lead, 0.5, cfg).alias("p50_lead_time_days"),
-        quantile(pr_lead, 0.95, cfg).alias("p95_lead_time_days"),
+        F.avg(_PR_LEAD).alias("avg_lead_time_days"),
+        quantile(_PR_LEAD, 0.5, cfg).alias("p50_lead_time_days"),
+        quantile(_PR_LEAD, 0.95, cfg).alias("p95_lead_time_days"),
         F.count_if("is_ci_run").alias("ci_run_count"),
         F.count_if("is_ci_failure").alias("ci_failure_count"),
         safe_ratio(F.count_if("is_ci_failure"), F.count_if("is_ci_run")).alias("ci_failure_rate"),
         F.count_if("is_incident_opened").alias("incidents_opened"),
         F.count_if("is_incident_closed").alias("incidents_closed"),
-    )
+    ]
+
+
+def dora_daily(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+    """Delivery metrics per (date_day, team): deployments, lead time mean /
+    p50 / p95 over merged PRs, CI runs, failures and failure rate, incidents
+    opened and closed."""
+    return dora_inputs(stg).groupBy("date_day", "team").agg(*dora_aggregates(cfg))
 
 
 def lead_time_quantiles(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
