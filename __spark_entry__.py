@@ -136,6 +136,12 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # data quality
     "dq_health_score_bounds": lambda s, d: quality.health_score_bounds(_mart(s, d)),
     "dq_contract": lambda s, d: quality.contract(_mart(s, d)),
+    # key check before a team-grain join: the dimension repeats a team once per model
+    "dq_unique": lambda s, d: quality.unique(facts.dim_teams(_stg_ml(s, d), _src(s, d).catalog), "team"),
+    # the rows the contract's not_null on health_score rejects (no CI run in the 7-row window)
+    "dq_not_null": lambda s, d: quality.not_null(_mart(s, d), "health_score").select(
+        "date_day", "team", "health_score", "ci_failure_rate_7d_avg"),
+    "dq_accepted_values": lambda s, d: quality.accepted_values(_src(s, d).delivery, "team", C.TEAMS),
     "dq_freshness": _freshness,
     "dq_report": _dq_report,
     # dashboards and alert report

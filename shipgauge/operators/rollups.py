@@ -40,13 +40,15 @@ def dora_inputs(stg: DataFrame) -> DataFrame:
     )
 
 
-def dora_aggregates(cfg: PipelineConfig = DEFAULT) -> list[Column]:
-    """Aggregates of the delivery rollup over :func:`dora_inputs` rows."""
+def dora_aggregates(cfg: PipelineConfig = DEFAULT, quantiles: bool = True) -> list[Column]:
+    """Aggregates of the delivery rollup over :func:`dora_inputs` rows, in
+    output order; ``quantiles=False`` leaves out p50 / p95."""
+    q = [quantile(_PR_LEAD, 0.5, cfg).alias("p50_lead_time_days"),
+         quantile(_PR_LEAD, 0.95, cfg).alias("p95_lead_time_days")] if quantiles else []
     return [
         F.count_if("is_deployment").alias("deployment_count"),
         F.avg(_PR_LEAD).alias("avg_lead_time_days"),
-        quantile(_PR_LEAD, 0.5, cfg).alias("p50_lead_time_days"),
-        quantile(_PR_LEAD, 0.95, cfg).alias("p95_lead_time_days"),
+        *q,
         F.count_if("is_ci_run").alias("ci_run_count"),
         F.count_if("is_ci_failure").alias("ci_failure_count"),
         safe_ratio(F.count_if("is_ci_failure"), F.count_if("is_ci_run")).alias("ci_failure_rate"),
@@ -58,8 +60,19 @@ def dora_aggregates(cfg: PipelineConfig = DEFAULT) -> list[Column]:
 def dora_daily(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Delivery metrics per (date_day, team): deployments, lead time mean /
     p50 / p95 over merged PRs, CI runs, failures and failure rate, incidents
-    opened and closed."""
-    return dora_inputs(stg).groupBy("date_day", "team").agg(*dora_aggregates(cfg))
+    opened and closed.
+
+    The quantiles are holistic (they keep a value -> count buffer per group)
+    and run in their own aggregate over merged-PR rows only; the counts and
+    means stay a plain hash aggregate over all rows. The two team-day results
+    meet in a left join on their shared grouping keys.
+    """
+    counts = dora_inputs(stg).groupBy("date_day", "team").agg(*dora_aggregates(cfg, quantiles=False))
+    q = lead_time_quantiles(stg, cfg).drop("pr_count")
+    return (counts.join(q, ["date_day", "team"], "left")
+            .select("date_day", "team", "deployment_count", "avg_lead_time_days",
+                    "p50_lead_time_days", "p95_lead_time_days", "ci_run_count", "ci_failure_count",
+                    "ci_failure_rate", "incidents_opened", "incidents_closed"))
 
 
 def lead_time_quantiles(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

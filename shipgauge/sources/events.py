@@ -73,8 +73,13 @@ def _mapped(c: Column, mapping: dict[str, str]) -> Column:
     return out
 
 
-def _k() -> Column:
-    return F.get_json_object(F.col("props"), "$.k").cast("int")
+def _with_k(events: DataFrame) -> DataFrame:
+    """Adds ``_k`` = integer ``props.k``, parsed once per row.
+
+    Kept in its own projection: the mapping below uses it in several CASE
+    branches, where Spark would otherwise parse the JSON once per branch.
+    """
+    return events.withColumn("_k", F.get_json_object(F.col("props"), "$.k").cast("int"))
 
 
 def _team() -> Column:
@@ -89,13 +94,13 @@ def adapt_delivery_events(events: DataFrame) -> DataFrame:
     purchase -> incident_closed.
     """
     et = F.col("event_type")
-    return events.select(
+    return _with_k(events).select(
         F.col("event_id").cast("string").alias("event_id"),
         _team().alias("team"),
         _mapped(et, DELIVERY_TYPE_OF).alias("event_type"),
         F.col("ts").alias("event_date"),
         F.when(et == "signup", F.col("value") / F.lit(10.0)).alias("lead_time_days"),
-        F.when(et == "click", _k() >= F.lit(30)).alias("ci_passed"),
+        F.when(et == "click", F.col("_k") >= F.lit(30)).alias("ci_passed"),
     )
 
 
@@ -109,8 +114,8 @@ def adapt_ml_events(events: DataFrame) -> DataFrame:
     """
     et = F.col("event_type")
     training = et.isin("click", "signup")
-    k = _k().cast("double")
-    return events.select(
+    k = F.col("_k").cast("double")
+    return _with_k(events).select(
         F.col("event_id").cast("string").alias("event_id"),
         _team().alias("team"),
         F.concat(F.lit("model-"), F.col("user_id").cast("string"), F.lit("-"),
@@ -122,7 +127,7 @@ def adapt_ml_events(events: DataFrame) -> DataFrame:
         F.when(training, F.least(F.lit(0.99), F.lit(0.4) + F.col("value") / F.lit(200.0)))
          .alias("precision_at_10"),
         F.when(training & (F.col("event_id") % F.lit(3) == F.lit(0)), F.lit(None).cast("boolean"))
-         .when(training, _k() > F.lit(50))
+         .when(training, F.col("_k") > F.lit(50))
          .when(et == "error", F.lit(True)).alias("drift_triggered"),
     )
 
