@@ -31,8 +31,8 @@ def build_copy(spark, src, dst, copies):
     ev = spark.read.parquet(src)
     n = ev.count()
     users = ev.agg(F.max("user_id")).first()[0] + 1
-    c = spark.range(copies).withColumnRenamed("id", "copy")
-    big = ev.crossJoin(F.broadcast(c)).select(  # copies is a small literal range (checked size)
+    replicated = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("bigint"))
+    big = replicated.select(
         (F.col("event_id") + F.col("copy") * n).alias("event_id"), "ts",
         F.when((F.col("event_id") + F.col("copy") * n) % 3 == 0, F.lit(0))
          .otherwise(F.col("user_id") + F.col("copy") * users).alias("user_id"),
