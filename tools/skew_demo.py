@@ -31,7 +31,7 @@ def build_copy(spark, src, dst, copies):
     ev = spark.read.parquet(src)
     n = ev.count()
     users = ev.agg(F.max("user_id")).first()[0] + 1
-    replicated = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).cast("bigint"))
+    replicated = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>")))
     big = replicated.select(
         (F.col("event_id") + F.col("copy") * n).alias("event_id"), "ts",
         F.when((F.col("event_id") + F.col("copy") * n) % 3 == 0, F.lit(0))
