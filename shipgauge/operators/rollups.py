@@ -16,11 +16,14 @@ from shipgauge.operators.rolling import Rolling, add_rolling
 
 
 def quantile(column: str, p: float, cfg: PipelineConfig = DEFAULT) -> Column:
-    """Quantile ``p`` of ``column``, NULLs ignored, NULL when no value.
-
-    exact: the smallest observed value whose cumulative share reaches ``p``
-    (``percentile_disc``); approx: ``percentile_approx`` with bounded memory
-    per group, for very large groups.
+    """Quantile ``p`` of ``column``: the observed value at rank ``ceil(p * n)``,
+    NULLs ignored, NULL when no value.
+
+    approx (default): ``percentile_approx`` -- a mergeable sketch whose size
+    per group is bounded by the accuracy, not by the group; exact on the
+    group sizes measured so far, rank error at most n / accuracy beyond.
+    exact: ``percentile_disc``, whose buffer holds every distinct value of a
+    group, so one very hot group must fit in one task's memory.
     """
     if cfg.quantile_mode == "approx":
         return F.percentile_approx(F.col(column), F.lit(p), F.lit(cfg.approx_accuracy))
