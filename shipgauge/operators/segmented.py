@@ -11,9 +11,11 @@ value -- the first close in any later bucket, or the number of rows in
 earlier buckets. That value is computed from a per-(key, bucket) summary,
 which Spark aggregates map-side (one partial row per key, bucket and task),
 and is fed back as a single *carry-in* row that sorts first in the bucket's
-window. No join, no per-key task, no collect: the largest task holds one
-key-bucket, and ``bucket`` can be made finer (minute, second) if even that is
-too large.
+window. Events and carry-in rows are each hash-partitioned on (key, bucket)
+and then unioned, which keeps the partitioning, so the events shuffle runs
+concurrently with the summary chain. No join, no per-key task, no collect:
+the largest task holds one key-bucket, and ``bucket`` can be made finer
+(minute, second) if even that is too large.
 """
 
 from __future__ import annotations
@@ -69,7 +71,11 @@ def pair_next(events: DataFrame, keys: Sequence[str], ts: str, is_open: Column,
                       .select(*part, "_has_open", F.min("_first_close").over(later).alias("_close"))
                       .where((F.col("_has_open") == 1) & F.col("_close").isNotNull())
                       .select(*part, "_close", F.lit(True).alias("_carry"), F.lit(False).alias("_open")))
-        ev = ev.withColumn("_carry", F.lit(False)).unionByName(carry_rows, allowMissingColumns=True)
+        # Both sides are hash-partitioned on (key, bucket) before the union, which keeps that
+        # partitioning: the events shuffle in their own stage, concurrently with the summary
+        # chain, and the window needs no further exchange.
+        ev = (ev.withColumn("_carry", F.lit(False)).repartition(*part)
+              .unionByName(carry_rows.repartition(*part), allowMissingColumns=True))
         carry = F.col("_carry")
 
     # Latest first; the carry-in row (the future beyond this bucket) before
@@ -111,7 +117,8 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
                   .where(F.col("_w").isNotNull())
                   .withColumn("_carry", F.lit(True)))
     u = (base.withColumn("_w", F.lit(1).cast("bigint")).withColumn("_carry", F.lit(False))
-         .unionByName(carry_rows, allowMissingColumns=True))
+         .repartition(*part)
+         .unionByName(carry_rows.repartition(*part), allowMissingColumns=True))
     w = (Window.partitionBy(*part).orderBy(F.col("_carry").desc(), *order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (u.withColumn(out, F.sum("_w").over(w).cast("bigint"))
