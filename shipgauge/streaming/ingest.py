@@ -10,6 +10,7 @@ nothing is loaded twice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,7 +42,10 @@ def ingest_stream(spark: SparkSession, source_path: str, source_schema: T.Struct
             raise RequiredColumnError(f"batch {batch_id}: NULL in REQUIRED columns {bad}")
         batch.write.mode("overwrite").parquet(f"{target_path.rstrip('/')}/load_batch={batch_id}")
 
-    checkpoint = checkpoint or f"{shared_dir(spark)}/shipgauge/checkpoints/ingest-{abs(hash(target_path))}"
+    if checkpoint is None:
+        # stable across processes, so a restarted load resumes from its own checkpoint
+        digest = hashlib.sha1(target_path.encode()).hexdigest()[:16]
+        checkpoint = f"{shared_dir(spark)}/shipgauge/checkpoints/ingest-{digest}"
     writer = typed.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
