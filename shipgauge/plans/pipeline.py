@@ -80,6 +80,22 @@ def build(src: Sources, cfg: PipelineConfig = DEFAULT) -> dict[str, DataFrame]:
     }
 
 
+# Fixed value: the table name dashboard SQL uses for the health mart. Every
+# other model is registered under its own key.
+VIEW_NAMES = {"platform_health_daily": "fct_platform_health_daily"}
+
+
+def register_views(models: dict[str, DataFrame]) -> dict[str, str]:
+    """Register every model as a temporary view, so dashboard SQL runs as is
+    through ``spark.sql``; views stay lazy (Catalyst plans each query whole)."""
+    names = {}
+    for key, df in models.items():
+        name = VIEW_NAMES.get(key, key)
+        df.createOrReplaceTempView(name)
+        names[key] = name
+    return names
+
+
 def materialize(spark: SparkSession, models: dict[str, DataFrame], target: str = "dev",
                 target_schema: str = "dbt_dev", root: str | None = None,
                 tables: tuple[str, ...] = ("dim_teams", "fct_deployments", "fct_incidents",
