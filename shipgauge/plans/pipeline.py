@@ -97,7 +97,7 @@ def register_views(models: dict[str, DataFrame]) -> dict[str, str]:
 
 
 def materialize(spark: SparkSession, models: dict[str, DataFrame], target: str = "dev",
-                target_schema: str = "dbt_dev", root: str | None = None,
+                target_schema: str = "analytics_dev", root: str | None = None,
                 tables: tuple[str, ...] = ("dim_teams", "fct_deployments", "fct_incidents",
                                            "fct_ml_runs", "platform_health_daily")) -> dict[str, DataFrame]:
     """Write the given models as tables and return them read back.

@@ -19,8 +19,8 @@ def output_schema(target: str, target_schema: str, custom_schema: str | None) ->
 
     No custom schema -> the target's own schema. The production target uses
     the custom name as is; every other target prefixes it with its schema,
-    e.g. ``dev`` + ``marts`` -> ``dbt_dev_marts`` when the target schema is
-    ``dbt_dev``.
+    e.g. ``dev`` + ``marts`` -> ``analytics_dev_marts`` when the target schema is
+    ``analytics_dev``.
     """
     if custom_schema is None:
         return target_schema

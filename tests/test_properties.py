@@ -41,15 +41,15 @@ def test_materialize_writes_named_tables_that_read_back_equal(spark):
     src = generic_sources(spark, SF)
     models = build(src)
     root = tempfile.mkdtemp(prefix="sg-wh-")
-    out = materialize(spark, models, target="dev", target_schema="dbt_dev", root=root)
-    assert os.path.isdir(f"{root}/dbt_dev_marts/platform_health_daily")
+    out = materialize(spark, models, target="dev", target_schema="analytics_dev", root=root)
+    assert os.path.isdir(f"{root}/analytics_dev_marts/platform_health_daily")
     mart = out["platform_health_daily"].select(*HEALTH_COLUMNS)
     assert _same(models["platform_health_daily"], mart)
     # partitioned by day: a day filter reads one folder
     day = mart.select(F.min("date_day")).first()[0]
     plan = mart.where(F.col("date_day") == day)._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_day" in plan
-    prod = materialize(spark, models, target="prod", target_schema="dbt_prod", root=root,
+    prod = materialize(spark, models, target="prod", target_schema="analytics_prod", root=root,
                        tables=("dim_teams",))
     assert os.path.isdir(f"{root}/marts/dim_teams") and prod["dim_teams"].count() == models["dim_teams"].count()
 

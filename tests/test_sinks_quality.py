@@ -13,10 +13,10 @@ from shipgauge.sources.sinks import RequiredColumnError, ingest_overwrite, outpu
 
 
 def test_output_schema_naming():
-    assert output_schema("prod", "dbt_prod", "marts") == "marts"
-    assert output_schema("dev", "dbt_dev", "marts") == "dbt_dev_marts"
-    assert output_schema("ci", "dbt_ci", " staging ") == "dbt_ci_staging"
-    assert output_schema("dev", "dbt_dev", None) == "dbt_dev"
+    assert output_schema("prod", "analytics_prod", "marts") == "marts"
+    assert output_schema("dev", "analytics_dev", "marts") == "analytics_dev_marts"
+    assert output_schema("ci", "analytics_ci", " staging ") == "analytics_ci_staging"
+    assert output_schema("dev", "analytics_dev", None) == "analytics_dev"
 
 
 def test_ingest_overwrite_replaces_and_rejects_nulls(spark):
