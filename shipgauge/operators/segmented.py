@@ -44,7 +44,8 @@ def pair_next(events: DataFrame, keys: Sequence[str], ts: str, is_open: Column,
     whose ``ts`` is strictly later; NULL when there is none.
 
     Equal timestamps never pair (an open and a close at the same instant do
-    not match), and several opens may share one close. The result has one
+    not match), several opens may share one close, and a NULL key matches
+    nothing. The result has one
     row per open event with ``keys``, ``ts``, ``keep`` and ``out``; with
     ``distinct_opens`` several opens of the same keys at the same instant
     collapse to one row (their results are identical).
@@ -54,6 +55,9 @@ def pair_next(events: DataFrame, keys: Sequence[str], ts: str, is_open: Column,
     """
     keys = list(keys)
     payload = [c for c in keep if c not in keys and c != ts]
+    # as in an equi-join, a NULL key matches nothing: such closes never pair
+    for k in keys:
+        is_close = is_close & F.col(k).isNotNull()
     ev = events.where(is_open | is_close).select(
         *keys, F.col(ts).alias("_ts"), is_open.alias("_open"),
         F.when(is_close, F.col(ts)).alias("_close"), *payload)

@@ -238,3 +238,18 @@ def test_composite_uses_unrounded_sum_for_tier(spark):
             scored = scored.withColumn(c, F.lit(None))
     (r,) = as_dicts(with_composite(scored))
     assert r["health_score"] == 90.0 and r["health_tier"] == "warning"
+
+
+@pytest.mark.parametrize("bucket", [None, "hour"])
+def test_null_keys_never_pair(spark, bucket):
+    from shipgauge.config import PairingConfig, PipelineConfig
+
+    rows = [("o1", None, "incident_opened", at(hour=1), None, None),
+            ("c1", None, "incident_closed", at(hour=2), None, None),
+            ("o2", "t", "incident_opened", at(hour=1), None, None),
+            ("c2", "t", "incident_closed", at(hour=3), None, None)]
+    df = spark.createDataFrame(rows, "event_id string, team string, event_type string, event_date timestamp, "
+                                     "lead_time_days double, ci_passed boolean")
+    cfg = PipelineConfig(pairing=PairingConfig(bucket=bucket))
+    got = {r["incident_id"]: r["closed_at"] for r in as_dicts(facts.fct_incidents(stage_delivery_events(df), cfg))}
+    assert got == {"o1": None, "o2": at(hour=3)}
