@@ -253,3 +253,22 @@ def test_null_keys_never_pair(spark, bucket):
     cfg = PipelineConfig(pairing=PairingConfig(bucket=bucket))
     got = {r["incident_id"]: r["closed_at"] for r in as_dicts(facts.fct_incidents(stage_delivery_events(df), cfg))}
     assert got == {"o1": None, "o2": at(hour=3)}
+
+
+def test_t6_score_defaults(spark):
+    """No PR, no ML event, no incident: lead time scores worst, drift and MTTR score best."""
+    ev = [_dep(1, "t", at(hour=1)), _dep(2, "t", at(hour=2), "ci_run", ci=True)]
+    (r,) = as_dicts(platform_health_daily(stage_delivery_events(delivery(spark, ev)),
+                                          stage_ml_events(empty_ml(spark))))
+    assert (r["score_lead_time"], r["score_drift"], r["score_mttr"]) == (25.0, 100.0, 100.0)
+    assert (r["drift_failure_rate_7d_avg"], r["avg_mttr_hours"], r["incident_count"]) == (0.0, 0.0, 0)
+
+
+def test_t13_zero_fill_dilutes_mttr_metric(spark):
+    """A day without incidents enters the MTTR metric as 0."""
+    ev = [("o1", "t", "incident_opened", at(day=0, hour=1), None, None),
+          ("c1", "t", "incident_closed", at(day=0, hour=11), None, None),
+          _dep(3, "u", at(day=0, hour=5))]
+    mart = platform_health_daily(stage_delivery_events(delivery(spark, ev)), stage_ml_events(empty_ml(spark)))
+    (m,) = as_dicts(semantic.metric_query(mart, ["mean_time_to_recover"], ["metric_time"]))
+    assert m["mean_time_to_recover"] == 5.0
