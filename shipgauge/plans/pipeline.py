@@ -12,7 +12,9 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shipgauge import config as C
 from shipgauge.config import DEFAULT, PipelineConfig
 from shipgauge.functions.catalog import DEFAULT_CATALOG, NUMBERED_CATALOG
 from shipgauge.operators.rollups import (
@@ -24,9 +26,11 @@ from shipgauge.operators.rollups import (
     with_dora_rolling,
     with_ml_rolling,
 )
+from shipgauge.operators import quality
 from shipgauge.operators.staging import stage_delivery_events, stage_ml_events
 from shipgauge.plans.facts import dim_teams, fct_deployments, fct_incidents, fct_ml_runs, retrain_response
 from shipgauge.plans.health import health_scores, platform_health_joined, with_composite
+from shipgauge.schemas import HEALTH_COLUMNS
 from shipgauge.session import configure, shared_dir
 from shipgauge.sources.events import adapt_delivery_events, adapt_ml_events
 from shipgauge.sources.sinks import table_path, write_table
@@ -113,3 +117,53 @@ def materialize(spark: SparkSession, models: dict[str, DataFrame], target: str =
         write_table(models[name], path, partition_by=part)
         out[name] = spark.read.parquet(path)
     return out
+
+
+def run(spark: SparkSession, src: Sources, cfg: PipelineConfig = DEFAULT, target: str = "dev",
+        target_schema: str = "analytics_dev", root: str | None = None,
+        with_tests: bool = True) -> dict[str, DataFrame]:
+    """Build and write every table in dependency order, then test them.
+
+    Each table is computed once: ``fct_incidents`` is written first and the
+    health mart reads it back, so incident pairing does not run twice.
+    Views stay lazy. With ``with_tests`` the result also holds ``tests``
+    (every declared column test, one row each) and ``contract`` (violations
+    of the mart contract, reported, not raised), both computed from the
+    written tables.
+    """
+    root = root or f"{shared_dir(spark)}/warehouse"
+
+    def write(name: str, df: DataFrame, part: list[str] | None = None) -> DataFrame:
+        path = table_path(root, target, target_schema, LAYERS[name], name)
+        write_table(df, path, partition_by=part)
+        return spark.read.parquet(path)
+
+    stg = stage_delivery_events(src.delivery)
+    stg_ml = stage_ml_events(src.ml, cfg)
+    out: dict[str, DataFrame] = {"stg_delivery_events": stg, "stg_ml_events": stg_ml}
+    out["dim_teams"] = write("dim_teams", dim_teams(stg_ml, src.catalog))
+    out["fct_deployments"] = write("fct_deployments", fct_deployments(stg, stg_ml, src.catalog, cfg))
+    out["fct_ml_runs"] = write("fct_ml_runs", fct_ml_runs(stg_ml, cfg))
+    out["fct_incidents"] = write("fct_incidents", fct_incidents(stg, cfg))
+    out["dora_daily"] = with_dora_rolling(dora_daily(stg, cfg), cfg)
+    out["ml_delivery_daily"] = with_ml_rolling(ml_delivery_daily(stg_ml), cfg)
+    out["retrain_response"] = retrain_response(stg_ml, cfg)
+    joined = platform_health_joined(out["dora_daily"], ml_team_daily(out["ml_delivery_daily"]),
+                                    incidents_daily(out["fct_incidents"], cfg),
+                                    retrain_response_daily(out["retrain_response"]))
+    out["platform_health_daily"] = write("platform_health_daily",
+                                         with_composite(health_scores(joined, cfg), cfg), ["date_day"])
+    if with_tests:
+        tables = {"raw_delivery_events": src.delivery, "raw_ml_events": src.ml,
+                  **{k: out[k] for k in ("stg_delivery_events", "stg_ml_events", "dim_teams",
+                                         "fct_deployments", "fct_incidents", "fct_ml_runs")}}
+        tests = quality.declared_tests(C.TEAMS, C.MODEL_NAMES, C.DELIVERY_EVENT_TYPES, C.ML_EVENT_TYPES,
+                                       C.PSI_SEVERITIES, C.SLA_TIERS)
+        out["tests"] = quality.run_tests(tables, tests).unionByName(
+            quality.health_score_bounds(out["platform_health_daily"])
+            .agg(F.count(F.lit(1)).alias("failures"))
+            .select(F.lit("health_score_bounds").alias("test_name"),
+                    F.lit("platform_health_daily").alias("model"), F.lit("health_score").alias("column_name"),
+                    F.lit("singular").alias("test"), "failures"))
+        out["contract"] = quality.contract(out["platform_health_daily"].select(*HEALTH_COLUMNS))
+    return out

@@ -97,3 +97,21 @@ def test_views_run_dashboard_sql_as_written(spark):
         from fct_ml_runs where run_day >= date_sub(date'2024-02-15', 30)
         group by 1, 2, 3 order by avg_psi desc""")
     assert _same(psi, reports.psi_distribution(models["fct_ml_runs"], "2024-02-15"))
+
+
+def test_run_writes_each_table_once_and_tests_them(spark):
+    from shipgauge.plans.pipeline import run
+
+    src = generic_sources(spark, SF)
+    root = tempfile.mkdtemp(prefix="sg-run-")
+    out = run(spark, src, root=root)
+    models = build(src)
+    for name in ("dim_teams", "fct_deployments", "fct_ml_runs", "fct_incidents"):
+        assert _same(models[name], out[name]), name
+    assert _same(models["platform_health_daily"], out["platform_health_daily"].select(*HEALTH_COLUMNS))
+    tests = {r["test_name"]: r["failures"] for r in out["tests"].collect()}
+    assert tests["unique_fct_deployments_deployment_id"] == 0
+    assert tests["health_score_bounds"] == 0
+    assert tests["accepted_values_raw_delivery_events_team"] > 0  # generated teams are not in the list
+    nulls = {r["column_name"]: r["failures"] for r in out["contract"].collect()}
+    assert nulls.get("health_score", 0) == out["platform_health_daily"].where("health_score is null").count()
