@@ -115,3 +115,17 @@ def test_run_writes_each_table_once_and_tests_them(spark):
     assert tests["accepted_values_raw_delivery_events_team"] > 0  # generated teams are not in the list
     nulls = {r["column_name"]: r["failures"] for r in out["contract"].collect()}
     assert nulls.get("health_score", 0) == out["platform_health_daily"].where("health_score is null").count()
+
+
+def test_command_line_run_and_report(spark, capsys):
+    from shipgauge.__main__ import main
+    from shipgauge.sources.events import adapt_delivery_events, adapt_ml_events
+
+    root = tempfile.mkdtemp(prefix="sg-cli-")
+    ev = spark.read.parquet(f"{SF}/events.parquet")
+    adapt_delivery_events(ev).write.parquet(f"{root}/delivery")
+    adapt_ml_events(ev).write.parquet(f"{root}/ml")
+    assert main(["run", "--delivery", f"{root}/delivery", "--ml", f"{root}/ml", "--root", f"{root}/wh"]) == 0
+    assert main(["report", "--mart", f"{root}/wh/analytics_dev_marts/platform_health_daily"]) == 0
+    out = capsys.readouterr().out
+    assert "tests failing:" in out and "contract violations:" in out and "of 14 teams" in out
