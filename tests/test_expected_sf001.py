@@ -64,3 +64,12 @@ def test_naive_dimension_join_would_double_deployments(models, spark):
     dep = models["stg_delivery_events"].where("is_deployment")
     naive = dep.join(models["dim_teams"], "team", "left")
     assert naive.count() == 3964 and models["fct_deployments"].count() == 1982
+
+
+def test_contract_reports_the_null_scores(models):
+    """T2 at sf0.01: the contract's not_null on health_score reports 241 rows, not hides them."""
+    from shipgauge.operators import quality
+
+    found = {(r["column_name"], r["check_name"]): r["failures"]
+             for r in quality.contract(models["platform_health_daily"]).collect()}
+    assert found == {("health_score", "not_null"): 241, ("score_ci_quality", "not_null"): 241}
