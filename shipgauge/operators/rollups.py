@@ -99,17 +99,21 @@ def with_dora_rolling(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFr
     ])
 
 
-def ml_delivery_daily(stg_ml: DataFrame) -> DataFrame:
-    """ML metrics per (date_day, team, model_name)."""
+def ml_inputs(stg_ml: DataFrame) -> DataFrame:
+    """The columns the ML rollup reads, with ``date_day``."""
     training = F.col("is_training_run")
-    src = stg_ml.select(
-        F.col("event_day").alias("date_day"), "team", "model_name",
+    return stg_ml.select(
+        F.col("event_day").alias("date_day"), "team", "model_name", "event_timestamp",
         "is_training_run", "is_deployment", "is_drift_detected", "is_retrain_triggered",
         F.when(training, F.col("precision_at_10")).alias("_train_precision"),
         F.when(training, F.col("psi_score")).alias("_train_psi"),
         (training & F.col("drift_triggered")).alias("_train_drift"),
     )
-    return src.groupBy("date_day", "team", "model_name").agg(
+
+
+def ml_aggregates() -> list[Column]:
+    """Aggregates of the ML rollup over :func:`ml_inputs` rows, in output order."""
+    return [
         F.count_if("is_training_run").alias("training_run_count"),
         F.avg("_train_precision").alias("avg_precision_at_10"),
         F.avg("_train_psi").alias("avg_psi_score"),
@@ -118,7 +122,12 @@ def ml_delivery_daily(stg_ml: DataFrame) -> DataFrame:
         F.count_if("is_deployment").alias("model_deployment_count"),
         F.count_if("is_drift_detected").alias("drift_detected_count"),
         F.count_if("is_retrain_triggered").alias("retrain_triggered_count"),
-    )
+    ]
+
+
+def ml_delivery_daily(stg_ml: DataFrame) -> DataFrame:
+    """ML metrics per (date_day, team, model_name)."""
+    return ml_inputs(stg_ml).groupBy("date_day", "team", "model_name").agg(*ml_aggregates())
 
 
 def with_ml_rolling(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

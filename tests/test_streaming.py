@@ -49,3 +49,32 @@ def test_incremental_load_then_streaming_rollup(spark):
     # every emitted day is closed: at least one day's lateness before the newest event
     newest = batch.agg(F.max("event_date")).first()[0]
     assert got.agg(F.max("date_day")).first()[0] < newest.date()
+
+
+def test_streaming_ml_rollup_matches_batch(spark):
+    from shipgauge.operators.rollups import ml_delivery_daily
+    from shipgauge.operators.staging import stage_ml_events
+    from shipgauge.schemas import ML_EVENTS
+    from shipgauge.sources.events import adapt_ml_events
+    from shipgauge.streaming import stream_ml_daily
+
+    root = tempfile.mkdtemp(prefix="sg-stream-ml-")
+    events = spark.read.parquet(f"{SF}/events.parquet")
+    events.repartition(2).write.parquet(f"{root}/incoming")
+    ingest_stream(spark, f"{root}/incoming", events.schema, ML_EVENTS, f"{root}/raw",
+                  checkpoint=f"{root}/ck-ingest", transform=adapt_ml_events).awaitTermination()
+    loaded = read_loaded(spark, f"{root}/raw", ML_EVENTS)
+    stream = spark.readStream.schema(loaded.schema).parquet(f"{root}/raw")
+    sq = (stream_ml_daily(stream, lateness="1 day").writeStream.outputMode("append").format("memory")
+          .queryName("sg_ml_daily").option("checkpointLocation", f"{root}/ck-daily")
+          .trigger(availableNow=True).start())
+    sq.awaitTermination()
+    got = spark.table("sg_ml_daily")
+    want = ml_delivery_daily(stage_ml_events(adapt_ml_events(events))).join(
+        got.select("date_day").distinct(), "date_day")
+
+    def rounded(df):
+        return df.select(*[F.round(c, 9).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+    assert got.count() > 0 and got.count() == want.count()
+    assert rounded(got).exceptAll(rounded(want.select(*got.columns))).count() == 0
