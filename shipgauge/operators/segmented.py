@@ -98,18 +98,27 @@ def pair_next(events: DataFrame, keys: Sequence[str], ts: str, is_open: Column,
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str,
-                    ts: str | None = None, bucket: str | None = "hour") -> DataFrame:
+                    ts: str | None = None, bucket: str | None = "hour",
+                    attach: Sequence[tuple[DataFrame, Sequence[str]]] = ()) -> DataFrame:
     """``row_number()`` over (partition by ``keys`` order by ``order_by``), as bigint.
 
     With ``bucket`` the numbering is split by time buckets of ``ts`` (the
     first ``order_by`` column must be ``ts``): each (key, bucket) counts its
     own rows and starts from a carried-in count of the key's earlier buckets.
+
+    ``attach`` left-joins small per-key tables (``(table, join keys)``, join
+    keys a subset of ``keys``) onto every row. In the bucketed form they are
+    joined onto the one carry-in row per (key, bucket) and spread down its
+    window partition, so the numbered rows are never shuffled for a join.
     """
     keys = list(keys)
     order = [F.col(c) for c in order_by]
     if bucket is None:
         w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(out, F.row_number().over(w).cast("bigint"))
+        out_df = df.withColumn(out, F.row_number().over(w).cast("bigint"))
+        for table, on in attach:
+            out_df = out_df.join(table, list(on), "left")
+        return out_df
     ts = ts or order_by[0]
     if order_by[0] != ts:
         raise ValueError("bucketed numbering needs the bucket time as first order column")
@@ -117,14 +126,23 @@ def sequence_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     part = keys + ["_bucket"]
     counts = base.groupBy(*part).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carry_rows = (counts.select(*part, F.sum("_n").over(earlier).alias("_w"))
-                  .where(F.col("_w").isNotNull())
-                  .withColumn("_carry", F.lit(True)))
+    # one carry-in row for every (key, bucket): rows of earlier buckets, then attached values
+    carry_rows = counts.select(*part, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).cast("bigint").alias("_w"))
+    attached = []
+    for table, on in attach:
+        extra = [c for c in table.columns if c not in on]
+        carry_rows = carry_rows.join(table.select(*on, *[F.col(c).alias(f"_a_{c}") for c in extra]),
+                                     list(on), "left")
+        attached += extra
+    carry_rows = carry_rows.withColumn("_carry", F.lit(True))
     u = (base.withColumn("_w", F.lit(1).cast("bigint")).withColumn("_carry", F.lit(False))
          .repartition(*part)
          .unionByName(carry_rows.repartition(*part), allowMissingColumns=True))
     w = (Window.partitionBy(*part).orderBy(F.col("_carry").desc(), *order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (u.withColumn(out, F.sum("_w").over(w).cast("bigint"))
+    # the carry-in row sorts first, so the frame's first value is its value
+    spread = [F.first(f"_a_{c}").over(w).alias(c) for c in attached]
+    return (u.select(*[c for c in u.columns if not c.startswith("_a_")],
+                     F.sum("_w").over(w).cast("bigint").alias(out), *spread)
             .where(~F.col("_carry"))
             .drop("_bucket", "_w", "_carry"))

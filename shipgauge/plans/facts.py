@@ -41,13 +41,12 @@ def fct_deployments(stg: DataFrame, stg_ml: DataFrame, catalog=DEFAULT_CATALOG,
     ordered by time and then event id."""
     deployments = stg.where(F.col("is_deployment")).select(
         "event_id", "team", "event_day", "event_timestamp")
-    numbered = sequence_number(deployments, ["team", "event_day"], ["event_timestamp", "event_id"],
-                               "deployment_seq_in_day", bucket=cfg.pairing.bucket)
-    lead = pr_lead_time_daily(stg)
-    teams = team_dimension(stg_ml, catalog)
-    joined = (numbered
-              .join(lead, ["team", "event_day"], "left")
-              .join(teams, ["team"], "left"))
+    # the same-day lead time and the team's domain ride on the numbering's
+    # carry-in rows, so the deployments themselves are shuffled only once
+    joined = sequence_number(
+        deployments, ["team", "event_day"], ["event_timestamp", "event_id"], "deployment_seq_in_day",
+        bucket=cfg.pairing.bucket,
+        attach=[(pr_lead_time_daily(stg), ["team", "event_day"]), (team_dimension(stg_ml, catalog), ["team"])])
     return joined.select(
         F.col("event_id").alias("deployment_id"),
         "team",
