@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 import __spark_entry__ as E  # noqa: E402
-from check_oracles import duck, rows_of  # noqa: E402
+from check_oracles import duck, rows_of, same_rows  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -31,7 +31,7 @@ def test_query_matches_oracle(spark, con, name):
     drows = [dict(zip(cols, r)) for r in res.fetchall()]
     assert sorted(sdf.columns) == sorted(cols)
     assert len(srows) == len(drows)
-    assert rows_of(srows, sorted(cols), False) == rows_of(drows, sorted(cols), False)
+    assert same_rows(rows_of(srows, sorted(cols), False), rows_of(drows, sorted(cols), False))
 
 
 def test_entry_returns_contract_columns(spark):
