@@ -59,3 +59,18 @@ def test_health_score_bounds(spark):
     df = spark.createDataFrame([(at().date(), "t", 101.0), (at().date(), "u", 50.0)],
                                "date_day date, team string, health_score double")
     assert [r["team"] for r in quality.health_score_bounds(df).collect()] == ["t"]
+
+
+def test_team_catalogs(spark):
+    from shipgauge.functions.catalog import DEFAULT_CATALOG, NUMBERED_CATALOG
+
+    df = spark.createDataFrame([("team-reco",), ("team-churn",), ("team-6",), ("team-x",), (None,)], "team string")
+    t = F.col("team")
+    got = {r["team"]: (r["d"], r["s"], r["nd"], r["ns"]) for r in df.select(
+        "team", DEFAULT_CATALOG.domain(t).alias("d"), DEFAULT_CATALOG.sla_tier(t).alias("s"),
+        NUMBERED_CATALOG.domain(t).alias("nd"), NUMBERED_CATALOG.sla_tier(t).alias("ns")).collect()}
+    assert got["team-reco"][:2] == ("Personalisation", "tier-1")
+    assert got["team-churn"][:2] == ("CRM", "tier-2")
+    assert got["team-6"] == (None, None, "CRM", "tier-2")  # 6 mod 4 = 2
+    assert got["team-x"] == (None, None, None, None)
+    assert got[None] == (None, None, None, None)
