@@ -81,8 +81,12 @@ def _gap_filled(spark, d):
 
 def _freshness(spark, d):
     src = _src(spark, d)
-    return quality.freshness(src.delivery, "event_date", FRESHNESS_AS_OF, "delivery_events").unionByName(
-        quality.freshness(src.ml, "event_date", FRESHNESS_AS_OF, "ml_events"))
+    out = None
+    for as_of in FRESHNESS_AS_OF:
+        for name, df in (("delivery_events", src.delivery), ("ml_events", src.ml)):
+            f = quality.freshness(df, "event_date", as_of, name)
+            out = f if out is None else out.unionByName(f)
+    return out
 
 
 def _dq_report(spark, d):
