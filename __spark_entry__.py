@@ -179,9 +179,28 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+# The training-data operators are a part that can be left out.
+try:
+    from shipgauge.llm.queries import ORACLE_SQL as _LLM_SQL
+    from shipgauge.llm.queries import QUERIES as _LLM_QUERIES
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith("shipgauge.llm"):
+        raise
+    _LLM_QUERIES, _LLM_SQL = {}, {}
+try:
+    import corpus_pipeline as _pipeline
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("shipgauge.llm", "corpus_pipeline")):
+        raise
+else:
+    _LLM_QUERIES = {**_LLM_QUERIES, "pipeline": _pipeline.run}
+    if _pipeline.ORACLE_SQL:
+        _LLM_SQL = {**_LLM_SQL, "pipeline": _pipeline.ORACLE_SQL}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(_QUERIES)
+    return {**_QUERIES, **_LLM_QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {k: v for k, v in ORACLE_SQL.items() if k in _QUERIES}
+    return {k: v for k, v in {**ORACLE_SQL, **_LLM_SQL}.items() if k in queries()}
