@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import packing, secrets
+from . import packing, secrets, simhash, winnowing
+from .common import written
 
 
 def tokenizer_path() -> str:
@@ -22,13 +23,25 @@ def op1_secrets(spark, sf_dir):
     return secrets.digest_secrets(secrets.find_secrets(docs, keep=["doc_id"]))
 
 
+def op3_simhash(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    prints = written(simhash.fingerprints(docs, keep=["doc_id"]), "fingerprints")
+    return simhash.near_duplicates(prints).select("doc_id", "fingerprint", "component_id")
+
+
 def op4_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_winnowing(spark, sf_dir):
+    return winnowing.compare_with_edited(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
+    "op9_winnowing": op9_winnowing,
 }
 
 # Queries that SQL can express.
