@@ -27,12 +27,13 @@ def split_remainder(key: str, modulus: int) -> Column:
 
 
 def add_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField],
-                make: Callable[[], Callable[..., list]], keep: list[str] | None = None) -> DataFrame:
+                make: Callable[[], Callable[..., list]], keep: list[str] | None = None,
+                rows: int = SLICE_ROWS) -> DataFrame:
     """Append columns computed row by row from ``inputs``.
 
     ``make`` runs once per task and returns a function from lists of input
-    values to one list (or Arrow array) per field. Rows are handed over in
-    slices, so a task holds a slice of texts at a time. ``keep`` names the
+    values to one list (or Arrow array) per field. It gets slices of ``rows``
+    rows, so a task holds a slice of texts at a time. ``keep`` names the
     input columns to return (default: all); output names win over clashes.
     """
     names = {f.name for f in fields}
@@ -44,8 +45,8 @@ def add_columns(df: DataFrame, inputs: list[str], fields: list[T.StructField],
     def run(batches):
         work = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_ROWS):
-                part = batch.slice(at, SLICE_ROWS)
+            for at in range(0, batch.num_rows, rows):
+                part = batch.slice(at, rows)
                 new = work(*(part.column(c).to_pylist() for c in inputs))
                 new = [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(new, types, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), *new],

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import packing, secrets, simhash, winnowing
-from .common import written
+from . import langid, packing, quality, secrets, simhash, winnowing
+from .common import split_remainder, written
 
 
 def tokenizer_path() -> str:
@@ -23,6 +24,14 @@ def op1_secrets(spark, sf_dir):
     return secrets.digest_secrets(secrets.find_secrets(docs, keep=["doc_id"]))
 
 
+def op2_quality(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score_quality(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (split_remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                         F.when(F.col("score") >= quality.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
 def op3_simhash(spark, sf_dir):
     docs = _table(spark, sf_dir, "documents")
     prints = written(simhash.fingerprints(docs, keep=["doc_id"]), "fingerprints")
@@ -37,11 +46,17 @@ def op9_winnowing(spark, sf_dir):
     return winnowing.compare_with_edited(_table(spark, sf_dir, "documents"))
 
 
+def op10_language(spark, sf_dir):
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
+    "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
     "op9_winnowing": op9_winnowing,
+    "op10_language": op10_language,
 }
 
 # Queries that SQL can express.
