@@ -232,8 +232,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     return QualityModel(vectors, fit(x, np.array([r["label"] for r in found], np.float64)))
 
 
-def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """Append ``score`` (0 to 1, higher: likelier good) of each whole text.
+def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", keep: list[str] | None = None,
+                  name: str = "score") -> DataFrame:
+    """Append ``name`` (0 to 1, higher: likelier good) of each whole text.
 
     A null or empty text has no words: all its features are zero and it gets
     the network's score for that. Repeated rows score alike.
@@ -244,4 +245,4 @@ def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", keep
         of = featurer(vectors)
         return lambda texts: [network.score(of(texts)).tolist()]
 
-    return add_columns(docs, [text], [T.StructField("score", T.DoubleType())], make, keep)
+    return add_columns(docs, [text], [T.StructField(name, T.DoubleType())], make, keep)

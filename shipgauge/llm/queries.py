@@ -5,10 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, packing, quality, secrets, simhash, winnowing
+from . import decontaminate, langid, packing, pii, quality, secrets, simhash, token_counts, toxicity, winnowing
 from .common import split_remainder, written
 
 
+# A deployment sets its own secret here; results are reproducible with this one.
+PII_KEY = "surrogates-1"
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -42,6 +46,33 @@ def op4_packing(spark, sf_dir):
     return packing.pack_documents(_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op5_toxicity(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _table(spark, sf_dir, "labels"))
+    scored = toxicity.score_toxicity(docs, model, keep=["doc_id"])
+    return scored.select("doc_id", (split_remainder("doc_id", 3) == 1).alias("held_out"), "score",
+                         F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"))
+
+
+def op6_decontaminate(spark, sf_dir):
+    found = decontaminate.find_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+    return found.select("doc_id", (F.size("hits") > 0).alias("contaminated"), F.size("hits").alias("n_items"),
+                        F.transform("hits", lambda h: h["item_id"]).alias("item_ids"),
+                        F.transform("hits", lambda h: h["distance"]).alias("distances"))
+
+
+def op7_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    return token_counts.count_tokens(docs, public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+
+
+def op8_pii(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.replace_entities(docs, PII_KEY)
+
+
 def op9_winnowing(spark, sf_dir):
     return winnowing.compare_with_edited(_table(spark, sf_dir, "documents"))
 
@@ -55,6 +86,10 @@ QUERIES = {
     "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_packing": op4_packing,
+    "op5_toxicity": op5_toxicity,
+    "op6_decontaminate": op6_decontaminate,
+    "op7_token_counts": op7_token_counts,
+    "op8_pii": op8_pii,
     "op9_winnowing": op9_winnowing,
     "op10_language": op10_language,
 }

@@ -166,16 +166,35 @@ class _Block:
 def near_duplicates(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS) -> DataFrame:
     """Append ``component_id`` to rows with a ``fingerprint``: the smallest key reachable by links.
 
+    ``component_print`` names the component too, by its smallest fingerprint as a signed number.
+
     Fingerprints (zero included) link at ``radius`` or fewer differing bits.
     Repeated rows share a component; null keys don't count as smallest, a
     component of null keys only has a null id. No rows give no rows.
     """
     value = F.conv("fingerprint", 16, -10).cast("long")
-    rows = prints.drop("component_id").withColumn("_print", value)
+    rows = prints.drop("component_id", "component_print").withColumn("_print", value)
     firsts = written(rows.groupBy(F.col("_print").alias("print")).agg(F.min(key).alias("first")), "prints")
     roots = components(written(tile_links(firsts, radius), "tile-links"))
     rooted = (firsts.join(roots.withColumnRenamed("node", "print"), "print", "left")
               .select("print", "first", F.coalesce("root", "print").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select(F.col("print").alias("_print"), "component_id")
+    named = rooted.join(least, "root").select(F.col("print").alias("_print"), "component_id", F.col("root").alias("component_print"))
     return rows.join(named, "_print").drop("_print")
+
+
+def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """``docs`` with one row of each near-duplicate group: the one with the smallest key.
+
+    Among rows of one key the smaller hash of the text decides, of equal rows
+    one stays; a null key counts as larger than any other.
+    """
+    # a null key compares as the largest, and joins, under a number and a flag
+    ident = [F.col(key).isNull().alias("_none"), F.coalesce(F.col(key), F.lit(0)).alias("_key"), F.xxhash64(text).alias("_text")]
+    found = written(near_duplicates(written(fingerprints(docs.select(key, text, *ident), text, shingle,
+                                                         [key, "_none", "_key", "_text"]), "fingerprints"), key, radius), "groups")
+    best = found.groupBy("component_print").agg(F.min(F.struct("_none", "_key", "_text")).alias("best")).select("best.*")
+    kept = docs.select("*", *ident).join(best, ["_none", "_key", "_text"], "left_semi")
+    if not found.groupBy("_none", "_key", "_text").count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(["_none", "_key", "_text"])
+    return kept.select(*docs.columns)
