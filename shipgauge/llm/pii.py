@@ -8,7 +8,7 @@ characters gives. Undoing the moves in reverse shows that different entities
 of one format have different surrogates; equal ones have equal surrogates in
 every document. Given names move within a list of one gender. A check over all
 distinct entities finds surrogates that are themselves entities of the corpus
-(or unchanged) and moves those on until they are not.
+(or unchanged) and gives those others that are not.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import written
 
 ROUNDS = 2
-MOVES = 8  # how often a surrogate that is an entity of the corpus is moved on
+MOVES = 4  # permutations tried for an entity whose first surrogate is an entity of the corpus
 
 # The alphabets characters move in.
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
@@ -40,8 +40,8 @@ KINDS = {
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)\.){3}(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?!\w|\.\d)",
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w+])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-])",
-    "phone": r"(?<![\w+(])(?=\+?(?:[ .()-]{0,2}\d){9,15}(?!\d))(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]{1,2}\d{2,4}){1,4}(?!\w)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
+    "phone": r"(?<![\w+(])(?=\+?(?:[ .()-]{0,2}\d){9,15}(?!\d))(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]{1,2}\d{2,4}){1,4}(?!\w)",
     "name": rf"(?<!\w)(?:{_ADDRESS}{_NAME}(?: {_NAME}){{0,2}}|(?:{'|'.join(FEMALE + MALE)}) {_NAME})(?!\w)",
 }
 # every kind begins where no word character stands before; asked first, that settles most positions
@@ -158,28 +158,32 @@ def entities(text: Column) -> Column:
 
 
 def colliding(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Entities whose surrogate is an entity of the corpus, with one that isn't: (entity, surrogate).
+    """Entities whose surrogate is an entity of the corpus, with another one: (entity, surrogate).
 
-    A surrogate is moved on along the permutation, at most ``MOVES`` times. As
-    no surrogate that stays is an entity, two entities still never share one.
+    Another permutation is tried, up to ``MOVES`` times, until its surrogate is
+    neither an entity nor taken. One permutation never gives two entities of a
+    format the same, so each round needs only those two checks. What no round
+    settles keeps its first surrogate: an entity of the corpus, which no
+    settled one is, so that all surrogates still differ.
     """
     each = docs.select(F.explode(F.array_distinct(entities(F.col(text)))).alias("entity")).distinct()
-    known = written(each.select("entity", kind_of(F.col("entity")).alias("kind")), "entities")
-    found = F.col("entity").alias("taken")
-    moving = known.select("entity", "kind", surrogate(F.col("entity"), F.col("kind"), key).alias("surrogate"))
-    moving = written(moving.join(known.select(found), F.col("surrogate") == F.col("taken"), "left_semi"), "colliding")
+    each = each.select("entity", kind_of(F.col("entity")).alias("kind"))
+    known = written(each.withColumn("surrogate", surrogate(F.col("entity"), F.col("kind"), key)), "entities")
+    found = known.select(F.col("entity").alias("surrogate"))
+    taken = known.select("surrogate").join(found, "surrogate", "left_anti")
+    left = written(known.join(found, "surrogate", "left_semi").select("entity", "kind", "surrogate"), "colliding")
     settled = None
-    for _ in range(MOVES):
-        if moving.isEmpty():
+    for k in range(1, MOVES + 1):
+        if left.isEmpty():
             break
-        moving = written(moving.select("entity", "kind", surrogate(F.col("surrogate"), F.col("kind"), key).alias("surrogate")),
-                         "colliding")
-        free = moving.join(known.select(found), F.col("surrogate") == F.col("taken"), "left_anti")
+        tried = written(left.withColumn("other", surrogate(F.col("entity"), F.col("kind"), f"{key}#{k}")), "tried")
+        free = (tried.select("entity", F.col("other").alias("surrogate")).join(found, "surrogate", "left_anti")
+                .join(taken, "surrogate", "left_anti").select("entity", "surrogate"))
+        free = written(free, "free")
+        taken = taken.unionByName(free.select("surrogate"))
         settled = free if settled is None else settled.unionByName(free)
-        moving = written(moving.join(known.select(found), F.col("surrogate") == F.col("taken"), "left_semi"), "colliding")
-    # what has not left a small cycle of entities keeps its last, different place in that cycle
-    settled = moving if settled is None else settled.unionByName(moving)
-    return settled.select("entity", "surrogate")
+        left = written(tried.join(free, "entity", "left_anti").select("entity", "kind", "surrogate"), "colliding")
+    return left.select("entity", "surrogate") if settled is None else settled
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str = "entities") -> DataFrame:
