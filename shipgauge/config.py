@@ -114,12 +114,8 @@ class PipelineConfig:
     high_mttr_above_hours: int = HIGH_MTTR_ABOVE_HOURS
     short_window_rows: int = SHORT_WINDOW_ROWS
     long_window_rows: int = LONG_WINDOW_ROWS
-    # "approx": percentile_approx sketch, memory bounded per group however hot the group is;
-    # at this accuracy it returned exactly percentile_disc on every group measured (up to 7,241
-    # values per group). "exact": percentile_disc, which keeps every distinct value of a group
-    # in one task's memory.
-    quantile_mode: str = "approx"
-    approx_accuracy: int = 100_000
+    # lead times within so many days of each other are counted up in one task; changes no result
+    quantile_range_days: float = 0.25
     score: ScoreConfig = field(default_factory=ScoreConfig)
     pairing: PairingConfig = field(default_factory=PairingConfig)
 

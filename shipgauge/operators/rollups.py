@@ -12,22 +12,11 @@ from pyspark.sql import functions as F
 
 from shipgauge.config import DEFAULT, PipelineConfig
 from shipgauge.functions.scalar import safe_ratio
+from shipgauge.operators.quantiles import exact_quantiles
 from shipgauge.operators.rolling import Rolling, add_rolling
 
 
-def quantile(column: str, p: float, cfg: PipelineConfig = DEFAULT) -> Column:
-    """Quantile ``p`` of ``column``: the observed value at rank ``ceil(p * n)``,
-    NULLs ignored, NULL when no value.
-
-    approx (default): ``percentile_approx`` -- a mergeable sketch whose size
-    per group is bounded by the accuracy, not by the group; exact on the
-    group sizes measured so far, rank error at most n / accuracy beyond.
-    exact: ``percentile_disc``, whose buffer holds every distinct value of a
-    group, so one very hot group must fit in one task's memory.
-    """
-    if cfg.quantile_mode == "approx":
-        return F.percentile_approx(F.col(column), F.lit(p), F.lit(cfg.approx_accuracy))
-    return F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{column}`)")
+QUANTILES = {"p50_lead_time_days": 0.5, "p95_lead_time_days": 0.95}
 
 
 _PR_LEAD = "_pr_lead_time"
@@ -43,11 +32,12 @@ def dora_inputs(stg: DataFrame) -> DataFrame:
     )
 
 
-def dora_aggregates(cfg: PipelineConfig = DEFAULT, quantiles: bool = True) -> list[Column]:
+def dora_aggregates(quantiles: bool = True) -> list[Column]:
     """Aggregates of the delivery rollup over :func:`dora_inputs` rows, in
-    output order; ``quantiles=False`` leaves out p50 / p95."""
-    q = [quantile(_PR_LEAD, 0.5, cfg).alias("p50_lead_time_days"),
-         quantile(_PR_LEAD, 0.95, cfg).alias("p95_lead_time_days")] if quantiles else []
+    output order; ``quantiles=False`` leaves out p50 / p95, which otherwise
+    keep a group's distinct lead times in one buffer (the streaming form)."""
+    q = [F.expr(f"percentile_disc({p!r}) WITHIN GROUP (ORDER BY `{_PR_LEAD}`)").alias(name)
+         for name, p in QUANTILES.items()] if quantiles else []
     return [
         F.count_if("is_deployment").alias("deployment_count"),
         F.avg(_PR_LEAD).alias("avg_lead_time_days"),
@@ -65,28 +55,35 @@ def dora_daily(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     p50 / p95 over merged PRs, CI runs, failures and failure rate, incidents
     opened and closed.
 
-    The quantiles are holistic (they keep a value -> count buffer per group)
-    and run in their own aggregate over merged-PR rows only; the counts and
-    means stay a plain hash aggregate over all rows. The two team-day results
-    meet in a left join on their shared grouping keys.
+    Counts and means are a plain hash aggregate over all rows, the quantiles
+    are exact and split (:func:`lead_time_quantiles`). The two kinds of
+    team-day rows are stacked and merged by a second aggregate, in which a
+    NULL team or day is a group like any other.
     """
-    counts = dora_inputs(stg).groupBy("date_day", "team").agg(*dora_aggregates(cfg, quantiles=False))
-    q = lead_time_quantiles(stg, cfg).drop("pr_count")
-    return (counts.join(q, ["date_day", "team"], "left")
-            .select("date_day", "team", "deployment_count", "avg_lead_time_days",
-                    "p50_lead_time_days", "p95_lead_time_days", "ci_run_count", "ci_failure_count",
-                    "ci_failure_rate", "incidents_opened", "incidents_closed"))
+    counts = dora_inputs(stg).groupBy("date_day", "team").agg(*dora_aggregates(quantiles=False))
+    stacked = counts.unionByName(_quantile_rows(_prs(stg), cfg), allowMissingColumns=True)
+    merged = stacked.groupBy("date_day", "team").agg(
+        *[F.max(c).alias(c) for c in stacked.columns if c not in ("date_day", "team")])
+    return merged.select("date_day", "team", "deployment_count", "avg_lead_time_days",
+                         "p50_lead_time_days", "p95_lead_time_days", "ci_run_count", "ci_failure_count",
+                         "ci_failure_rate", "incidents_opened", "incidents_closed")
+
+
+def _prs(stg: DataFrame) -> DataFrame:
+    return stg.where(F.col("is_pr_merged")).select(F.col("event_day").alias("date_day"), "team", "lead_time_days")
+
+
+def _quantile_rows(prs: DataFrame, cfg: PipelineConfig) -> DataFrame:
+    return exact_quantiles(prs, ["date_day", "team"], "lead_time_days", QUANTILES, cfg.quantile_range_days)
 
 
 def lead_time_quantiles(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """p50 / p95 of merged-PR lead time per (date_day, team), days with PRs only."""
-    prs = stg.where(F.col("is_pr_merged")).select(
-        F.col("event_day").alias("date_day"), "team", "lead_time_days")
-    return prs.groupBy("date_day", "team").agg(
-        F.count(F.lit(1)).alias("pr_count"),
-        quantile("lead_time_days", 0.5, cfg).alias("p50_lead_time_days"),
-        quantile("lead_time_days", 0.95, cfg).alias("p95_lead_time_days"),
-    )
+    """p50 / p95 of merged-PR lead time per (date_day, team), days with PRs only:
+    the observed value at rank ``ceil(p * n)``, exact for a group of any size."""
+    prs = _prs(stg)
+    counts = prs.groupBy("date_day", "team").agg(F.count(F.lit(1)).alias("pr_count"))
+    return counts.unionByName(_quantile_rows(prs, cfg), allowMissingColumns=True).groupBy("date_day", "team").agg(
+        *[F.max(c).alias(c) for c in ("pr_count", *QUANTILES)])
 
 
 def with_dora_rolling(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

@@ -11,11 +11,11 @@ value -- the first close in any later bucket, or the number of rows in
 earlier buckets. That value is computed from a per-(key, bucket) summary,
 which Spark aggregates map-side (one partial row per key, bucket and task),
 and is fed back as a single *carry-in* row that sorts first in the bucket's
-window. Events and carry-in rows are each hash-partitioned on (key, bucket)
-and then unioned, which keeps the partitioning, so the events shuffle runs
-concurrently with the summary chain. No join, no per-key task, no collect:
+window. Rows and carry-in rows are each hash-partitioned on (key, bucket)
+and then unioned, which keeps the partitioning. No per-key task, no collect:
 the largest task holds one key-bucket, and ``bucket`` can be made finer
-(minute, second) if even that is too large.
+(minute, second) if even that is too large. Pairing scans distinct instants
+only, so any number of events at one instant count as one row there.
 """
 
 from __future__ import annotations
@@ -44,57 +44,56 @@ def pair_next(events: DataFrame, keys: Sequence[str], ts: str, is_open: Column,
     whose ``ts`` is strictly later; NULL when there is none.
 
     Equal timestamps never pair (an open and a close at the same instant do
-    not match), several opens may share one close, and a NULL key matches
-    nothing. The result has one
-    row per open event with ``keys``, ``ts``, ``keep`` and ``out``; with
-    ``distinct_opens`` several opens of the same keys at the same instant
-    collapse to one row (their results are identical).
-
-    ``bucket=None`` scans each key in one window partition (no hot keys);
-    otherwise see the module notes.
+    not match), several opens may share one close, a NULL key matches nothing
+    and an open without a time has no later close. Open events that are equal
+    in ``keys``, ``ts`` and ``keep`` are one event loaded twice and give one
+    row. The result has ``keys``, ``ts``, ``keep`` and ``out``; with
+    ``distinct_opens`` there is one row per keys and instant, with the least
+    values of ``keep``.
+
+    The scan runs over distinct instants of a key, to which Spark reduces the
+    events map-side; opens get their instant's answer by an equi-join, so many
+    opens at one instant are rows of a skewed join, not of one window.
+    ``bucket=None`` scans each key in one window partition (no hot keys).
     """
     keys = list(keys)
     payload = [c for c in keep if c not in keys and c != ts]
     # as in an equi-join, a NULL key matches nothing: such closes never pair
     for k in keys:
         is_close = is_close & F.col(k).isNotNull()
-    ev = events.where(is_open | is_close).select(
-        *keys, F.col(ts).alias("_ts"), is_open.alias("_open"),
-        F.when(is_close, F.col(ts)).alias("_close"), *payload)
+    least = [F.min(F.when(is_open, F.col(c))).alias(c) for c in payload] if distinct_opens else []
+    instants = (events.where(is_open | is_close).groupBy(*keys, F.col(ts).alias("_ts"))
+                .agg(F.max(F.coalesce(is_open, F.lit(False))).alias("_open"),
+                     F.max(F.when(is_close, F.col(ts))).alias("_close"), *least))
 
     part = list(keys)
     carry = F.lit(False)
     if bucket is not None:
-        ev = ev.withColumn("_bucket", time_bucket(ev, "_ts", bucket))
+        instants = instants.withColumn("_bucket", time_bucket(instants, "_ts", bucket))
         part = keys + ["_bucket"]
-        summary = ev.groupBy(*part).agg(F.min("_close").alias("_first_close"),
-                                        F.max(F.col("_open").cast("int")).alias("_has_open"))
+        summary = instants.groupBy(*part).agg(F.min("_close").alias("_first_close"))
         later = Window.partitionBy(*keys).orderBy(F.col("_bucket").desc()).rowsBetween(
             Window.unboundedPreceding, -1)
-        carry_rows = (summary
-                      .select(*part, "_has_open", F.min("_first_close").over(later).alias("_close"))
-                      .where((F.col("_has_open") == 1) & F.col("_close").isNotNull())
+        carry_rows = (summary.select(*part, F.min("_first_close").over(later).alias("_close"))
+                      .where(F.col("_close").isNotNull())
                       .select(*part, "_close", F.lit(True).alias("_carry"), F.lit(False).alias("_open")))
         # Both sides are hash-partitioned on (key, bucket) before the union, which keeps that
-        # partitioning: the events shuffle in their own stage, concurrently with the summary
-        # chain, and the window needs no further exchange.
-        ev = (ev.withColumn("_carry", F.lit(False)).repartition(*part)
-              .unionByName(carry_rows.repartition(*part), allowMissingColumns=True))
+        # partitioning, so the window needs no further exchange.
+        instants = (instants.withColumn("_carry", F.lit(False)).repartition(*part)
+                    .unionByName(carry_rows.repartition(*part), allowMissingColumns=True))
         carry = F.col("_carry")
 
-    # Latest first; the carry-in row (the future beyond this bucket) before
-    # all; on equal time, opens before closes so an equal close is not seen.
-    order = [carry.desc(), F.col("_ts").desc(), F.col("_open").desc()]
-    w = Window.partitionBy(*part).orderBy(*order)
-    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    cols = [*keys, F.col("_ts").alias(ts), *payload, F.min("_close").over(running).alias(out)]
-    filt = F.col("_open")
+    # Latest first, the carry-in row (the future beyond this bucket) before all; the frame ends
+    # before the instant itself, whose own close is not later.
+    ahead = (Window.partitionBy(*part).orderBy(carry.desc(), F.col("_ts").desc())
+             .rowsBetween(Window.unboundedPreceding, -1))
+    answer = F.when(F.col("_ts").isNotNull(), F.min("_close").over(ahead)).alias(out)
+    answers = instants.select(*keys, F.col("_ts").alias(ts), answer, "_open", *(payload if distinct_opens else []))
+    answers = answers.where(F.col("_open")).drop("_open")
     if distinct_opens:
-        prev_open = F.lag("_open").over(w)
-        prev_ts = F.lag("_ts").over(w)
-        cols.append((F.coalesce(prev_open, F.lit(False)) & (prev_ts == F.col("_ts"))).alias("_dup"))
-        filt = filt & ~F.col("_dup")
-    return ev.select(*cols, "_open").where(filt).drop("_open", "_dup")
+        return answers.select(*keys, ts, *payload, out)
+    opens = events.where(is_open).select(*keys, ts, *payload).distinct()
+    return opens.join(answers.where(F.col(out).isNotNull()), [*keys, ts], "left").select(*keys, ts, *payload, out)
 
 
 def sequence_number(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str,

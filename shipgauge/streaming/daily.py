@@ -36,7 +36,7 @@ def stream_delivery_daily(raw_stream: DataFrame, lateness: str = "2 days",
                           cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Delivery rollup per (date_day, team) over a stream of raw delivery events."""
     rows = dora_inputs(_instant(stage_delivery_events(raw_stream)))
-    return _by_day(rows, ["team"], dora_aggregates(cfg), lateness)
+    return _by_day(rows, ["team"], dora_aggregates(), lateness)
 
 
 def stream_ml_daily(raw_stream: DataFrame, lateness: str = "2 days",
