@@ -10,7 +10,7 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -21,9 +21,10 @@ from shipgauge.operators import quality, rollups, staging  # noqa: E402
 from shipgauge.operators.rolling import Rolling, add_calendar_rolling  # noqa: E402
 from shipgauge.plans import facts, reports, semantic  # noqa: E402
 from shipgauge.plans.health import build_health_inputs, health_scores, platform_health_joined  # noqa: E402
-from shipgauge.plans.pipeline import build, generic_sources  # noqa: E402
+from shipgauge.plans.pipeline import build, generic_sources, register_views, run  # noqa: E402
 from shipgauge.schemas import DELIVERY_EVENTS  # noqa: E402
 from shipgauge.session import scratch_path  # noqa: E402
+from shipgauge.sources.events import read_delivery_events, read_ml_events  # noqa: E402
 from shipgauge.sources.sinks import ingest_overwrite  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -105,6 +106,44 @@ def _ml_rolling(spark, d):
     return rollups.with_ml_rolling(rollups.ml_delivery_daily(_stg_ml(spark, d)))
 
 
+def _replayed(spark, d):
+    """Incidents of a log in which every third event was loaded twice."""
+    stg = _stg(spark, d)
+    return facts.fct_incidents(stg.unionByName(stg.where(F.col("event_id").cast("bigint") % 3 == 0)))
+
+
+def _built(spark, d):
+    src = _src(spark, d)
+    root = scratch_path(spark, "warehouse")
+    return run(spark, src, root=root, as_of=FRESHNESS_AS_OF[-1])
+
+
+def _typed_events(spark, d, which):
+    """The typed reader over a typed raw table that Spark has written from the log."""
+    src, path = _src(spark, d), scratch_path(spark, f"typed_{which}")
+    getattr(src, which).write.parquet(path)
+    return (read_delivery_events if which == "delivery" else read_ml_events)(spark, path)
+
+
+def _sql_over_views(spark, d):
+    register_views(build(_src(spark, d)))
+    return spark.sql("""select t.domain, count(*) as deployments, min(f.deployed_at) as first_at
+                        from fct_deployments f join (select distinct team, domain from dim_teams) t on t.team = f.team
+                        group by t.domain""")
+
+
+def _worst_first(spark, d):
+    """The alert report with each row's place in it."""
+    mart = _mart(spark, d)
+    return reports.health_report(mart).select(
+        F.row_number().over(Window.orderBy(F.asc("health_score"), "team")).alias("place"), "team", "health_score")
+
+
+def _fixed_spine(spark, d):
+    daily = semantic.metric_query(_mart(spark, d), ["incidents"], ["metric_time"], "day")
+    return semantic.gap_filled(daily, semantic.time_spine(spark, "2023-12-25", "2024-02-05"), {"incidents": 0})
+
+
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     # sources, sinks, staging
     "src_delivery_events": lambda s, d: _src(s, d).delivery,
@@ -176,6 +215,25 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "measure_incidents": _metric("incidents"),
     "metric_gap_filled": _gap_filled,
     "time_spine": lambda s, d: semantic.data_spine(_mart(s, d)),
+    "metric_team_month": lambda s, d: semantic.metric_query(
+        _mart(s, d), ["deployment_frequency", "platform_health_score", "drift_failure_rate"], ["metric_time", "team"], "month"),
+    "metric_tier_busy_weeks": lambda s, d: semantic.metric_query(
+        _mart(s, d), ["mean_time_to_recover", "incidents"], ["metric_time", "health_tier"], "week",
+        where=F.col("deployments_last_7d") >= 3),
+    "metric_by_entity": lambda s, d: semantic.metric_query(_mart(s, d), ["model_training_frequency"], ["team_day"]),
+    "metric_fixed_spine": _fixed_spine,
+    # pairing of a log with rows loaded twice; sources, views and tables as a caller uses them
+    "fct_incidents_replayed": _replayed,
+    "typed_delivery_events": lambda s, d: _typed_events(s, d, "delivery"),
+    "typed_ml_events": lambda s, d: _typed_events(s, d, "ml"),
+    "sql_over_views": _sql_over_views,
+    "pipeline_tests": lambda s, d: _built(s, d)["tests"],
+    "mart_table_today": lambda s, d: reports.health_today(_built(s, d)["platform_health_daily"]),
+    "report_worst_first": _worst_first,
+    "report_team_alerts": lambda s, d: reports.team_alerts(_mart(s, d)),
+    # the bounds check on scores of which some are out of bounds
+    "dq_bounds_violated": lambda s, d: quality.health_score_bounds(
+        _mart(s, d).withColumn("health_score", F.col("health_score") * 2 - 60)),
 }
 
 

@@ -40,7 +40,7 @@ class NumberedCatalog:
     cycle: Sequence[tuple[str, str]]
 
     def _number(self, team: Column) -> Column:
-        suffix = F.substring(team, len(self.prefix) + 1, 1 << 20)
+        suffix = F.substr(team, F.lit(len(self.prefix) + 1))
         return F.when(team.startswith(self.prefix), suffix.try_cast("bigint"))
 
     def _pick(self, team: Column, values: Sequence[str]) -> Column:

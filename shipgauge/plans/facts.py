@@ -35,18 +35,21 @@ def team_dimension(stg_ml: DataFrame, catalog=DEFAULT_CATALOG) -> DataFrame:
 
 
 def fct_deployments(stg: DataFrame, stg_ml: DataFrame, catalog=DEFAULT_CATALOG,
-                    cfg: PipelineConfig = DEFAULT) -> DataFrame:
+                    cfg: PipelineConfig = DEFAULT, dim: DataFrame | None = None) -> DataFrame:
     """One row per deployment: same-day mean PR lead time (0 when none),
     team domain and SLA tier, and its sequence number within (team, day),
-    ordered by time and then event id."""
+    ordered by time and then event id. ``dim`` is a written team dimension to
+    use; without one it is derived from the ML events."""
     deployments = stg.where(F.col("is_deployment")).select(
         "event_id", "team", "event_day", "event_timestamp")
+    teams = (team_dimension(stg_ml, catalog) if dim is None else
+             dim.groupBy("team").agg(F.min("domain").alias("domain"), F.min("sla_tier").alias("sla_tier")))
     # the same-day lead time and the team's domain ride on the numbering's
     # carry-in rows, so the deployments themselves are shuffled only once
     joined = sequence_number(
         deployments, ["team", "event_day"], ["event_timestamp", "event_id"], "deployment_seq_in_day",
         bucket=cfg.pairing.bucket,
-        attach=[(pr_lead_time_daily(stg), ["team", "event_day"]), (team_dimension(stg_ml, catalog), ["team"])])
+        attach=[(pr_lead_time_daily(stg), ["team", "event_day"]), (teams, ["team"])])
     return joined.select(
         F.col("event_id").alias("deployment_id"),
         "team",

@@ -103,6 +103,12 @@ def health_report(mart: DataFrame) -> DataFrame:
             .orderBy(F.asc("health_score")))
 
 
+def team_alerts(mart: DataFrame) -> DataFrame:
+    """Every team of the latest day with tier and score, and whether it raises the alert."""
+    return _on_latest_day(mart).select("team", "health_tier", "health_score",
+                                       (F.col("health_tier") == "critical").alias("alert"))
+
+
 def tier_counts(mart: DataFrame) -> DataFrame:
     """Number of teams per tier on the latest day, as one row (no collect)."""
     t = F.col("health_tier")

@@ -60,6 +60,7 @@ METRICS = {m.name: m for m in (
 
 TIME_DIMENSION = "date_day"
 CATEGORICAL_DIMENSIONS = ("team", "health_tier")
+PRIMARY_ENTITY = "team_day"
 GRAINS = ("day", "week", "month", "quarter", "year")
 
 
@@ -91,14 +92,14 @@ def with_entity(mart: DataFrame) -> DataFrame:
 def metric_query(mart: DataFrame, metrics: Sequence[str], group_by: Sequence[str] = ("metric_time",),
                  grain: str = "day", where: Column | str | None = None) -> DataFrame:
     """Aggregate metrics (or bare measures) by ``metric_time`` at ``grain``
-    and/or categorical dimensions. Output columns: ``metric_time__<grain>``,
+    and/or categorical dimensions or the primary entity. Output columns: ``metric_time__<grain>``,
     the dimensions, then one column per requested metric."""
-    src = mart if where is None else mart.where(where)
+    src = with_entity(mart) if where is None else with_entity(mart).where(where)
     keys = []
     for g in group_by:
         if g == "metric_time":
             keys.append(metric_time(grain).alias(f"metric_time__{grain}"))
-        elif g in CATEGORICAL_DIMENSIONS:
+        elif g in (*CATEGORICAL_DIMENSIONS, PRIMARY_ENTITY):
             keys.append(F.col(g))
         else:
             raise KeyError(f"unknown dimension {g!r}")

@@ -24,6 +24,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Days and whole hours are UTC; in another session time zone they would silently be others."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone not in ("UTC", "Etc/UTC", "GMT", "Z", "+00:00"):
+        raise ValueError(f"spark.sql.session.timeZone is {zone}; set it to UTC (shipgauge.session.configure does)")
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "shipgauge") -> SparkSession:
     """A local session for tests and benchmarks (never used on a cluster)."""
@@ -48,13 +55,14 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    A cluster names it; only when it is unset (local tests) is a private
-    folder created and registered, so ``DataFrame.checkpoint`` works too.
+    A cluster must name it. Only in a local session, where driver and
+    executors are one process, a private folder is made and registered.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="shipgauge-")
         spark.conf.set("spark.checkpoint.dir", base)
     if not spark.sparkContext.getCheckpointDir():

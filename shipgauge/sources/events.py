@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shipgauge.session import require_utc
 from shipgauge.schemas import DELIVERY_EVENTS, ML_EVENTS, TIMESTAMP_TYPES
 
 
@@ -31,7 +32,8 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def read_events(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Typed parquet scan: only the schema's columns are read, nothing is inferred."""
+    """Parquet scan of the schema's columns only, cast to their types (a timestamp keeps the file's flavour)."""
+    require_utc(spark)
     return conform(spark.read.parquet(path), schema)
 
 
@@ -130,7 +132,3 @@ def adapt_ml_events(events: DataFrame) -> DataFrame:
          .when(training, F.col("_k") > F.lit(50))
          .when(et == "error", F.lit(True)).alias("drift_triggered"),
     )
-
-
-def read_generic_events(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,16 +54,40 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     writer.parquet(path)
 
 
+def publish(spark: SparkSession, staged: str, path: str) -> None:
+    """Put the finished table at ``staged`` in the place of the one at ``path`` (two renames and a delete)."""
+    jvm = spark.sparkContext._jvm
+    new, old, aside = (jvm.org.apache.hadoop.fs.Path(p) for p in (staged, path, f"{path}.replaced"))
+    fs = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(old.getParent())
+    if fs.exists(aside):
+        fs.delete(aside, True)
+    if fs.exists(old) and not fs.rename(old, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not fs.rename(new, old):
+        fs.rename(aside, old)
+        raise OSError(f"cannot move {staged} to {path}")
+    fs.delete(aside, True)
+
+
 def ingest_overwrite(spark: SparkSession, df: DataFrame, schema: T.StructType, path: str) -> int:
-    """Truncate-and-replace load with an explicit schema.
+    """Truncate-and-replace load with an explicit schema, in one pass over the source.
 
-    Casts ``df`` to ``schema``, refuses the load if a REQUIRED column holds a
-    NULL (the old table stays), writes with overwrite and returns the row
-    count of the new table, read back from its files.
+    Casts ``df`` to ``schema`` and writes it beside ``path``, counting rows and
+    the NULLs of REQUIRED columns on the way. The load is refused if there are
+    such NULLs; the old table is replaced only by a complete new one. Returns
+    the number of rows.
     """
     typed = conform(df, schema)
-    bad = required_violations(typed, schema)
+    required = [f.name for f in schema.fields if not f.nullable]
+    seen = Observation()
+    counted = typed.observe(seen, F.count(F.lit(1)).alias("_rows"), *[F.count_if(F.col(c).isNull()).alias(c) for c in required])
+    staged = f"{path}.loading-{uuid.uuid4().hex[:12]}"
+    write_table(counted, staged)
+    bad = {c: int(seen.get[c]) for c in required if seen.get[c]}
     if bad:
+        old = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(staged)
+        old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(old, True)
         raise RequiredColumnError(f"NULL in REQUIRED columns: {bad}")
-    write_table(typed, path)
-    return spark.read.parquet(path).count()
+    publish(spark, staged, path)
+    return int(seen.get["_rows"])
