@@ -172,7 +172,7 @@ def run_tests(tables: dict[str, DataFrame], tests: Sequence[ColumnTest]) -> Data
 def declared_tests(teams: Sequence[str], models: Sequence[str], delivery_types: Sequence[str],
                    ml_types: Sequence[str], severities: Sequence[str],
                    sla_tiers: Sequence[str]) -> list[ColumnTest]:
-    """The column tests declared on sources, staging and marts."""
+    """The column tests declared on sources, staging and marts (fixed values: which test on which column)."""
     T_ = ColumnTest
     tests = []
     for m in ("raw_delivery_events", "raw_ml_events"):

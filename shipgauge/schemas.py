@@ -28,7 +28,7 @@ ML_EVENTS = T.StructType([
 
 _L, _D, _S = T.LongType(), T.DoubleType(), T.StringType()
 
-# Enforced contract of the daily health mart, in contract order.
+# The enforced contract of the daily health mart, in contract order.
 # (name, type, not_null)
 HEALTH_CONTRACT = (
     ("date_day", T.DateType(), True),
