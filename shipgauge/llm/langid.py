@@ -8,9 +8,6 @@ label are the text's spans.
 
 from __future__ import annotations
 
-import re
-import zlib
-from bisect import bisect_right
 from collections import Counter
 from dataclasses import dataclass
 
@@ -29,8 +26,6 @@ UNKNOWN = "und"
 KNOWN_WORDS = 400_000
 TOGETHER = 4096        # texts labelled side by side
 
-_WORD = re.compile(r"[^\W\d_]+")
-
 # First code points of script ranges; a range ends where the next begins.
 SCRIPTS = ("other", "latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "indic", "thai", "hangul", "kana", "han")
 _RANGES = [(0, "other"), (0x41, "latin"), (0x250, "other"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"),
@@ -43,24 +38,37 @@ _RANGES = [(0, "other"), (0x41, "latin"), (0x250, "other"), (0x370, "greek"), (0
 _STARTS, _NAMES = [a for a, _ in _RANGES], [SCRIPTS.index(s) for _, s in _RANGES]
 
 
-def script_of(word: str) -> int:
-    """The script that most letters of ``word`` have; the first in ``SCRIPTS`` on ties."""
-    if word.isascii():
-        return 1
-    counts = Counter(_NAMES[bisect_right(_STARTS, ord(c)) - 1] for c in word)
-    return min(counts, key=lambda s: (-counts[s], s))
+_FIRST, _LAST = "\x02", "\x03"  # stand for a word's ends
+
 
+def letters_of(chunk: str) -> str:
+    """The letters of a run of non-blanks, lower-cased: a word."""
+    low = chunk.lower()
+    return low if low.isalpha() else "".join([c for c in low if c.isalpha()])
 
-def gram_rows(word: str) -> list[int]:
-    """Rows of the word's 1- to 3-grams; the word's ends count as characters."""
-    framed = f"\x02{word}\x03"
-    grams = [framed[i:i + n] for n in (1, 2, 3) for i in range(len(framed) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % GRAM_ROWS for g in grams]
 
+class Grams:
+    """Rows of the 1- to 3-grams of many words at once, and the words' scripts."""
 
-def words_of(text: str | None) -> list[str]:
-    """Maximal runs of letters, lower-cased."""
-    return _WORD.findall((text or "").lower())
+    def __init__(self, words: list[str]):
+        framed = _FIRST + (_LAST + _FIRST).join(words) + _LAST
+        points = np.frombuffer(framed.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        first, last = points == ord(_FIRST), points == ord(_LAST)
+        word = np.cumsum(first) - 1
+        inside = ~(first | last)
+        self.count = len(words)
+        self.parts = []  # (rows, starts of each word's rows) for each length of gram
+        value = np.zeros(len(points), np.uint64)
+        for n in (1, 2, 3):
+            value = value[:len(points) - n + 1] * np.uint64(1_000_003) + points[n - 1:]
+            fits = inside if n == 1 else ~last[:len(value)] if n == 2 else ~(last[:len(value)] | last[1:len(value) + 1])
+            mixed = (value[fits] + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
+            self.parts.append(((mixed >> np.uint64(40)).astype(np.int64) % GRAM_ROWS,
+                               np.searchsorted(word[:len(value)][fits], np.arange(self.count))))
+        kind = np.array(_NAMES)[np.searchsorted(_STARTS, points[inside].astype(np.int64), side="right") - 1]
+        tally = np.bincount(word[inside] * len(SCRIPTS) + kind, minlength=self.count * len(SCRIPTS))
+        self.tally = tally.reshape(self.count, len(SCRIPTS))
+        self.script = self.tally.argmax(axis=1)  # that most letters have; the first in SCRIPTS on ties
 
 
 @dataclass
@@ -92,15 +100,19 @@ def train(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "
         waiting: dict[int, Counter] = {i: Counter() for i in range(len(languages))}
 
         def flush():
-            for i, words in waiting.items():
-                for word, n in words.items():
-                    np.add.at(total[i], gram_rows(word), n)
-                    total[i, GRAM_ROWS + script_of(word)] += n * len(word)
-                words.clear()
+            for i, chunks in waiting.items():
+                words = [(w, n) for w, n in ((letters_of(c), n) for c, n in chunks.items()) if w]
+                if words:
+                    grams, times = Grams([w for w, _ in words]), np.array([n for _, n in words], np.int64)
+                    for rows, starts in grams.parts:
+                        each = np.repeat(times, np.diff([*starts, len(rows)]))
+                        total[i, :GRAM_ROWS] += np.bincount(rows, each, GRAM_ROWS).astype(np.int64)
+                    total[i, GRAM_ROWS:] += times @ grams.tally
+                chunks.clear()
 
         def add(texts, names):
             for t, name in zip(texts, names, strict=True):
-                waiting[number[name]].update(words_of(t))
+                waiting[number[name]].update(t.split())
             if sum(map(len, waiting.values())) > KNOWN_WORDS:
                 flush()
 
@@ -161,31 +173,47 @@ class Labeller:
 
     def __init__(self, model: LanguageModel):
         self.model = model
+        self.grams = model.grams.astype(np.float32)
+        self.forget()
+
+    def forget(self) -> None:
         self.rows: dict[str, int] = {}
-        self.scores = np.zeros((1024, len(model.languages)), np.float32)
-
-    def word_scores(self, word: str) -> np.ndarray:
-        """Sum of the grams' log-probabilities for the languages that use the word's script."""
-        allowed = self.model.allowed[script_of(word)]
-        score = self.model.grams[gram_rows(word)].sum(axis=0)
-        if not allowed.any():
-            return np.zeros_like(score)  # no language is known to use the script: no evidence
-        score = score - score[allowed].max()
-        return np.where(allowed, score, score.min() - SWITCH)
-
-    def label(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
-        words = [words_of(t) for t in texts]
+        self.scores = np.zeros((0, len(self.model.languages)), np.float32)
+        self.letters = np.zeros(0, np.int64)
+
+    def word_scores(self, words: list[str]) -> np.ndarray:
+        """Sums of the grams' log-probabilities, less the best one, for the languages that use a word's script.
+
+        Other languages score worse than all of these; if no language is known
+        to use the script, the word speaks for none.
+        """
+        found = Grams(words)
+        score = sum(np.add.reduceat(self.grams[rows], starts) for rows, starts in found.parts)
+        allowed = self.model.allowed[found.script]
+        score = score - np.where(allowed, score, -np.inf).max(axis=1, keepdims=True, initial=-1e30)
+        score = np.where(allowed, score, score.min(axis=1, keepdims=True) - SWITCH)
+        return np.where(allowed.any(axis=1, keepdims=True), score, 0).astype(np.float32)
+
+    def label(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Letters of every word with any, how many such words each text has, and the words' labels."""
+        chunks = [(t or "").split() for t in texts]
         if len(self.rows) > KNOWN_WORDS:
-            self.rows.clear()
-        for w in {w for ws in words for w in ws}:
-            if w not in self.rows:
-                at = self.rows[w] = len(self.rows)
-                if at >= len(self.scores):
-                    self.scores = np.concatenate([self.scores, np.zeros_like(self.scores)])
-                self.scores[at] = self.word_scores(w)
-        rows = np.array([self.rows[w] for ws in words for w in ws], np.int64)
-        sizes = np.array([len(ws) for ws in words], np.int64)
-        return words, sizes, viterbi(self.scores[rows], sizes)
+            self.forget()
+        new = list({c for cs in chunks for c in cs}.difference(self.rows))
+        if new:
+            words = [letters_of(c) for c in new]
+            sizes = np.array(list(map(len, words)), np.int64)
+            score = np.zeros((len(new), self.scores.shape[1]), np.float32)
+            if sizes.any():
+                score[sizes > 0] = self.word_scores([w for w in words if w])
+            self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+            self.scores, self.letters = np.concatenate([self.scores, score]), np.concatenate([self.letters, sizes])
+        at = self.rows
+        rows = np.array([at[c] for cs in chunks for c in cs], np.int64)
+        text = np.repeat(np.arange(len(texts)), [len(c) for c in chunks])
+        some = self.letters[rows] > 0
+        rows, sizes = rows[some], np.bincount(text[some], minlength=len(texts))
+        return self.letters[rows], sizes, viterbi(self.scores[rows], sizes)
 
 
 def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: list[str] | None = None,
@@ -208,8 +236,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
         def work(texts):
             if not names:
                 return [[UNKNOWN] * len(texts), [0.0] * len(texts), *([[[] for _ in texts]] if spans else [])]
-            words, sizes, labels = labeller.label(texts)
-            letters = np.array([len(w) for ws in words for w in ws], np.int64)
+            letters, sizes, labels = labeller.label(texts)
             doc = np.repeat(np.arange(len(texts)), sizes)
             share = np.bincount(doc * len(names) + labels, letters, len(texts) * len(names)).reshape(-1, len(names))
             top, whole = share.argmax(axis=1), share.sum(axis=1)

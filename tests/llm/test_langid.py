@@ -1,0 +1,72 @@
+"""Language identification: Viterbi against exhaustive search, held-out accuracy, edge cases."""
+
+from itertools import product
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from shipgauge.llm.langid import GRAM_ROWS, SCRIPTS, Grams, identify, letters_of, predict, train, viterbi
+
+
+def test_scripts():
+    words = {"latin": "éa", "greek": "λόγος", "cyrillic": "мир", "han": "日本", "kana": "ひら", "hangul": "한국", "arabic": "سلام",
+             "hebrew": "שלום", "thai": "ไทย", "indic": "नमस्ते"}
+    found = Grams(list(words.values()))
+    assert [SCRIPTS[i] for i in found.script] == list(words)
+
+
+def test_grams_are_those_of_each_word():
+    words = ["abc", "é", "abab", "日本"]
+    found = Grams(words)
+    rows = [r.tolist() + [None] for r, _ in found.parts]
+    cut = lambda n, i: found.parts[n][0][found.parts[n][1][i]:[*found.parts[n][1], None][i + 1]].tolist()
+    assert [len(r) - 1 for r in rows] == [sum(map(len, words)), sum(len(w) + 1 for w in words), sum(map(len, words))]
+    assert all(0 <= x < GRAM_ROWS for r in rows for x in r[:-1])
+    for i, w in enumerate(words):
+        alone = Grams([w])
+        assert all(cut(n, i) == alone.parts[n][0].tolist() for n in range(3))
+    assert cut(1, 2)[1] == cut(1, 0)[1] == cut(1, 2)[3] and letters_of("Ab-1c!") == "abc" and letters_of("12") == ""
+
+
+def test_viterbi_equals_exhaustive_search():
+    rng = np.random.default_rng(3)
+    for _ in range(60):
+        sizes = rng.integers(0, 6, 4)
+        scores = rng.normal(size=(sizes.sum(), 3)) * 3
+        got, at = viterbi(scores, sizes, penalty=2.0), 0
+        for n in sizes:
+            part = scores[at:at + n]
+            worth = lambda p: sum(part[i, x] for i, x in enumerate(p)) - 2.0 * sum(a != b for a, b in zip(p, p[1:]))  # noqa: E731, B023
+            if n:
+                assert abs(worth(got[at:at + n]) - max(map(worth, product(range(3), repeat=int(n))))) < 1e-9
+            at += n
+
+
+def test_held_out_accuracy(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = identify(docs).filter("held_out").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert len(rows) > 150 and sum(r.lang == r.lang_pred for r in rows) >= 0.97 * len(rows)
+
+
+def test_mixed_text_has_spans(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = train(docs, F.lit(True))
+    en, fr = (docs.filter((F.col("lang") == x) & F.col("n_chars").between(400, 900)).orderBy("doc_id").first()["text"] for x in ("en", "fr"))
+    mixed = spark.createDataFrame([(en + "\n" + fr,)], "text string")
+    spans = predict(mixed, model, spans=True).first()["spans"]
+    assert spans[0]["lang"] == "en" and spans[-1]["lang"] == "fr" and len(spans) <= 6
+
+
+def test_nulls_repeats_clashes_and_empty_tables(spark):
+    schema = "doc_id long, text string, lang string, score string"
+    rows = [(i, t, x, "s") for i, (t, x) in enumerate([("the cat sat", "en"), ("le chat noir", "fr"), ("der hund", "de")] * 4)]
+    rows += [(100, None, "en", None), (101, "", None, None), (101, "", None, None), (None, "12 34 !", "en", None),
+             (102, "мир", None, None), (103, "the " * 60000, None, None)]
+    docs = spark.createDataFrame(rows, schema)
+    got = identify(docs).collect()
+    assert len(got) == 18 and all(0 <= r.score <= 1 for r in got)
+    assert {r.lang_pred for r in got if r.doc_id in (100, 101, None)} == {"und"}
+    assert {r.lang_pred for r in got if r.doc_id in (102, 103)} <= {"en", "fr", "de"}
+    assert identify(docs.limit(0)).count() == 0
+    unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.lang_pred for r in identify(unlabelled).collect()} == {"und"}
