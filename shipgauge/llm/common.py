@@ -8,7 +8,9 @@ column replaces an input column of the same name.
 
 from __future__ import annotations
 
+import sys
 import tempfile
+import types
 import uuid
 from collections.abc import Callable
 
@@ -78,6 +80,14 @@ def summarise(df: DataFrame, inputs: list[str], fields: list[T.StructField],
     return df.select(*inputs).mapInArrow(run, schema)
 
 
+def kept_in_worker(name: str, make: Callable):
+    """``make()``, kept under ``name`` in the worker process, which Spark reuses for later tasks."""
+    kept = sys.modules.setdefault("shipgauge_worker", types.ModuleType("shipgauge_worker"))
+    if name not in vars(kept):
+        vars(kept)[name] = make()
+    return vars(kept)[name]
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir``.
 

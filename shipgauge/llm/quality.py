@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, split_remainder, summarise
+from .common import add_columns, kept_in_worker, split_remainder, summarise
 
 ROWS = 4096       # rows of the word-vector table
 SHAPES = 512      # the first rows are shapes, the others words
@@ -29,7 +29,7 @@ REACH = 2         # neighbours to either side
 SAMPLE = 8000     # labelled rows the network is fitted on, at most
 HIDDEN = 24
 THRESHOLD = 0.3
-KNOWN = 500_000   # words whose rows a task remembers
+KNOWN = 800_000   # words whose rows a worker remembers
 
 
 
@@ -42,8 +42,17 @@ def index_vectors() -> np.ndarray:
     return out
 
 
+_MARKS = ".,;:!?*#%&$|"
+
+
 def shape_of(chunk: str) -> str:
     """``Thre***`` is ``Aa*``, ``ERHE!!`` is ``A!``: runs of kinds of characters, each once."""
+    core = chunk.rstrip(_MARKS)
+    tail = chunk[len(core):]
+    if core.isascii() and core.isalpha() and tail == tail[:1] * len(tail):  # most words
+        known = "a" if core.islower() else "A" if core.isupper() else "Aa" if core.istitle() else ""
+        if known:
+            return known + tail[:1]
     out = []
     for c in chunk:
         kind = ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
@@ -84,7 +93,7 @@ def corpus_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
     index = index_vectors()
 
     def make():
-        reader, total = Reader(), np.zeros((ROWS, DIMENSIONS))
+        reader, total = kept_in_worker("quality reader", Reader), np.zeros((ROWS, DIMENSIONS))
 
         def add(texts):
             words, shapes, sizes = reader.read(texts)
@@ -98,8 +107,10 @@ def corpus_vectors(docs: DataFrame, text: str = "text") -> np.ndarray:
                 near[step:] += own[:-step] * same
                 near[:len(own) - step] += own[step:] * same
             for rows in (words, shapes):
-                for d in range(DIMENSIONS):
-                    total[:, d] += np.bincount(rows, near[:, d], ROWS)
+                order = np.argsort(rows.astype(np.int16), kind="stable")
+                sorted_rows = rows[order]
+                starts = np.flatnonzero(np.concatenate(([True], sorted_rows[1:] != sorted_rows[:-1])))
+                total[sorted_rows[starts]] += np.add.reduceat(near[order], starts)
 
         def finish():
             rows = np.flatnonzero(np.abs(total).sum(axis=1))
@@ -125,13 +136,17 @@ def pooled(vectors: np.ndarray, index: np.ndarray, words: np.ndarray, shapes: np
         return out
     starts = (np.cumsum(sizes) - sizes)[full]
     count = sizes[full].astype(np.float32)[:, None]
-    out[full, :DIMENSIONS] = np.add.reduceat(vectors[words], starts) / count
-    out[full, DIMENSIONS:2 * DIMENSIONS] = np.add.reduceat(vectors[shapes], starts) / count
-    unit = index / np.float32(np.sqrt(NONZERO))
-    mean = np.add.reduceat(unit[words], starts) / count
-    again = np.concatenate(((words[1:] == words[:-1]) * (np.diff(np.repeat(np.arange(n), sizes)) == 0), [0]))
+    both = np.hstack([vectors, index / np.float32(np.sqrt(NONZERO))])
+    word_mean = np.add.reduceat(both[words], starts) / count
+    doc = np.repeat(np.arange(n), sizes)
+    # few shapes: how often each occurs in a text, times its vector
+    often = np.bincount(doc * SHAPES + shapes, minlength=n * SHAPES).reshape(n, SHAPES)[full]
+    shape_mean = often.astype(np.float32) @ both[:SHAPES] / count
+    out[full, :DIMENSIONS], mean = word_mean[:, :DIMENSIONS], word_mean[:, DIMENSIONS:]
+    out[full, DIMENSIONS:2 * DIMENSIONS] = shape_mean[:, :DIMENSIONS]
+    again = np.concatenate(((words[1:] == words[:-1]) * (np.diff(doc) == 0), [0]))
     out[full, -4] = (mean ** 2).sum(axis=1)
-    out[full, -3] = ((np.add.reduceat(unit[shapes], starts) / count) ** 2).sum(axis=1)
+    out[full, -3] = (shape_mean[:, DIMENSIONS:] ** 2).sum(axis=1)
     out[full, -2] = np.add.reduceat(again.astype(np.float32), starts) / count[:, 0]
     out[full, -1] = np.log1p(count[:, 0])
     return out
@@ -201,7 +216,7 @@ class QualityModel:
 
 def featurer(vectors: np.ndarray):
     """A function from texts to their features, with a task's memory of words."""
-    reader, index = Reader(), index_vectors()
+    reader, index = kept_in_worker("quality reader", Reader), index_vectors()
     return lambda texts: pooled(vectors, index, *reader.read(texts))
 
 

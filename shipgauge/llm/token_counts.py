@@ -9,13 +9,10 @@ matches costs less than any piece and counts as its UTF-8 bytes.
 
 from __future__ import annotations
 
-import sys
-import types
-
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import add_columns
+from .common import add_columns, kept_in_worker
 
 BLANK = "▁"         # stands for a blank and begins every word
 UNKNOWN_LESS = 10.0  # by how much an unknown character scores less than the least piece
@@ -82,20 +79,12 @@ class Counter:
         return sum([words[w] for w in (BLANK + w for w in marked.split(BLANK))])
 
 
-def _counter(pieces: list[tuple[str, float]], name: str) -> Counter:
-    """The worker process's counter; Spark reuses workers, so later tasks find words known."""
-    kept = sys.modules.setdefault("shipgauge_worker_counters", types.ModuleType("shipgauge_worker_counters"))
-    if name not in vars(kept):
-        vars(kept)[name] = Counter(pieces)
-    return vars(kept)[name]
-
-
 def count_tokens(docs: DataFrame, model_file: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Append ``n_tokens`` of each whole text; a null or empty text has none. Rows are independent."""
     pieces = vocabulary(model_file)
 
     def make():
-        counter = _counter(pieces, model_file)
+        counter = kept_in_worker(f"counter {model_file}", lambda: Counter(pieces))
         return lambda texts: [[counter.count(t) for t in texts]]
 
     return add_columns(docs, [text], [T.StructField("n_tokens", T.LongType())], make, keep)

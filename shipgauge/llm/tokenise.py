@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import re
-import sys
-import types
 import unicodedata
 
 import numpy as np
 
+from .common import kept_in_worker
+
 # Lower-cased text of Latin letters, digits, ASCII marks and blanks, where Python's and the
 # tokenizer's reading agree; and the tokenizer's own split into words on such text (fixed values).
 _PLAIN = re.compile(r"[a-zß-öø-ɏ0-9!-/:-@\[-`{-~ \t\n\r\x0b\x0c]*")
@@ -19,11 +19,8 @@ CACHED = 800_000
 
 
 def encoder(path: str) -> Encoder:
-    """The worker process's encoder for ``path``; Spark reuses workers, so later tasks find words known."""
-    kept = sys.modules.setdefault("shipgauge_worker_encoders", types.ModuleType("shipgauge_worker_encoders"))
-    if path not in vars(kept):
-        vars(kept)[path] = Encoder(path)
-    return vars(kept)[path]
+    """The worker's encoder for ``path``: later tasks find words known."""
+    return kept_in_worker(f"encoder {path}", lambda: Encoder(path))
 
 
 class Encoder:
