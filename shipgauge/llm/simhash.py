@@ -141,7 +141,10 @@ class _Block:
         self.prints = np.concatenate([self.prints, prints])
 
     def compare(self, probes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One link for every probe that is near a base; its other near bases join that base's group."""
+        """One link for every probe that is near a base; its other near bases join that base's group.
+
+        ``group`` names each base's root, the smallest of its group, before and after.
+        """
         links = [(np.zeros(0, np.uint64), np.zeros(0, np.uint64))]
         for at in range(0, len(probes) if len(self.prints) else 0, 512):
             some = probes[at:at + 512]
@@ -153,13 +156,13 @@ class _Block:
             of = np.repeat(np.arange(len(first)), np.diff([*first, len(row)]))
             links.append((some[row[first]], self.prints[col[first]]))
             while True:
-                least = np.minimum.reduceat(self.group[col], first)
-                before = self.group.copy()
-                np.minimum.at(self.group, col, least[of])
-                np.minimum.at(self.group, before[col], least[of])  # what was grouped before stays together
-                self.group = self.group[self.group]
-                if (self.group == before).all():
-                    break
+                roots = self.group[col]
+                least = np.minimum.reduceat(roots, first)[of]
+                if (roots == least).all():
+                    break  # every probe's bases share one root
+                np.minimum.at(self.group, roots, least)  # only roots are hooked: what was grouped before stays together
+                while (self.group != (above := self.group[self.group])).any():
+                    self.group = above
         return tuple(np.concatenate(x) for x in zip(*links, strict=True))
 
 

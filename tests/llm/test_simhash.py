@@ -7,7 +7,7 @@ import numpy as np
 import xxhash
 
 from shipgauge.llm.components import components
-from shipgauge.llm.simhash import fingerprint, fingerprints, near_duplicates, tile_links
+from shipgauge.llm.simhash import _Block, fingerprint, fingerprints, near_duplicates, tile_links
 
 
 def brute_print(text):
@@ -74,6 +74,62 @@ def test_dense_neighbourhood_stays_whole(spark, monkeypatch):
     assert {r.root for r in components(links).collect()} == {0}
 
 
+def chained(rng, chains, length):
+    """Chains of fingerprints of one tile: each step swaps two bits of a quarter."""
+    values = set()
+    for _ in range(chains):
+        at = sum(sum(1 << b for b in rng.sample(range(16), 8)) << 16 * q for q in range(4))
+        for _ in range(length):
+            values.add(at)
+            q = 16 * rng.randrange(4)
+            on, off = ([b for b in range(q, q + 16) if at >> b & 1 == x] for x in (1, 0))
+            at ^= 1 << rng.choice(on) | 1 << rng.choice(off)
+    return values
+
+
+def test_no_batch_of_probes_undoes_an_earlier_one():
+    # a path of steps of two bits; P joins 2 and 3 first, then A and B pull them to different bases
+    b1, a, b3, p, b2, b, b0 = (np.uint64((1 << 2 * k) - 1) for k in range(7))
+    block = _Block(2)
+    block.add(np.array([b0, b1, b2, b3], np.uint64))
+    block.compare(np.array([p], np.uint64))
+    block.compare(np.array([a, b], np.uint64))
+    assert block.group.tolist() == [0, 0, 0, 0]
+
+
+def test_chains_over_many_batches_of_probes_stay_whole():
+    rng = random.Random(6)
+    for _ in range(5):
+        values = sorted(chained(rng, 6, 400))
+        rng.shuffle(values)
+        prints, block = np.array(values, np.uint64), _Block(2)
+        bases = prints[:1000]
+        block.add(bases)
+        links = [block.compare(prints), block.close()]
+        pairs = {(int(x), int(y)) for a, b in links for x, y in zip(a, b, strict=True)}
+        # what plain search connects through pairs of a base and a probe, and nothing else
+        near = [np.flatnonzero((np.bitwise_count(bases ^ v) <= 2) & (bases != v)) for v in prints]
+        assert _groups(pairs) == _groups({(int(v), int(bases[k])) for v, found in zip(prints, near, strict=True) for k in found})
+
+
+def _groups(pairs):
+    edges, seen, out = {}, set(), []
+    for a, b in pairs:
+        edges.setdefault(a, set()).add(b)
+        edges.setdefault(b, set()).add(a)
+    for v in edges:
+        if v not in seen:
+            todo, group = [v], set()
+            while todo:
+                x = todo.pop()
+                if x not in group:
+                    group.add(x)
+                    todo.extend(edges[x])
+            seen |= group
+            out.append(sorted(group))
+    return sorted(out)
+
+
 def test_components_of_paths_cycles_and_stars(spark):
     links = [(i, i + 1) for i in range(300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(-5, 7000), (7000, -9), (8, 8)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
