@@ -201,16 +201,19 @@ class ToxicityModel:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Logistic regression by Newton's method, slightly ridged; one class alone gives its score everywhere."""
+def fit_curve(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> np.ndarray:
+    """Logistic regression by Newton's method, slightly ridged; one class alone gives its score everywhere.
+
+    Each row counts as often as ``times`` says.
+    """
     if len(set(y.tolist())) < 2:
         return np.array([*[0.0] * FIGURES, -3.0 if not len(y) or y[0] == 0 else 3.0])
     a, w = np.column_stack([x, np.ones(len(x))]), np.zeros(FIGURES + 1)
     ridge = np.diag([*[0.1] * FIGURES, 0.01])
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
-        grad = a.T @ (p - y) + ridge @ w
-        w = w - np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge + 1e-6 * np.eye(FIGURES + 1), grad)
+        grad = a.T @ (times * (p - y)) + ridge @ w
+        w = w - np.linalg.solve((a * (times * p * (1 - p))[:, None]).T @ a + ridge + 1e-6 * np.eye(FIGURES + 1), grad)
     return w
 
 
@@ -237,6 +240,8 @@ def _counted(chosen: DataFrame, text: str, only: frozenset | None) -> DataFrame:
 def learn_weights(chosen: DataFrame, text: str = "text") -> dict[str, float]:
     """Log-odds of the keys that toxic texts of ``chosen`` (``label`` 0 or 1) have significantly more often.
 
+    The share of toxic texts that the bound compares with is that of ``chosen``,
+    whose counts it is applied to; log-odds don't depend on it.
     A key must occur in ``SUPPORT`` of the toxic texts, so the number of keys
     considered doesn't grow with the corpus; it is checked all the same.
     """
@@ -268,11 +273,14 @@ def learn_weights(chosen: DataFrame, text: str = "text") -> dict[str, float]:
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
     """Weights and curve from at most ``SAMPLE`` labelled rows of each class, those with the smallest hashes.
 
+    For the curve, a class's rows count as often as all its labels are to those
+    picked, so that scores follow the share of toxic labels at any input size.
     Labels are learnt only where crc32(key) mod 3 is not 1. Null labels and
     keys are left out; null texts count as empty.
     """
     usable = (labels.filter((split_remainder(key, 3) != 1) & F.col(label).isNotNull() & F.col(key).isNotNull())
               .select(key, F.col(label).cast("int").alias("label")))
+    sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     picked = [usable.filter(F.col("label") == c).orderBy(F.xxhash64(key)).limit(SAMPLE) for c in (0, 1)]
     sample = picked[0].unionByName(picked[1])
     chosen = written(docs.select(key, text).join(F.broadcast(sample), key), "toxicity-sample")
@@ -285,7 +293,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
 
     rows = add_columns(chosen, [text], [figures], make, [key, "label"]).orderBy(F.xxhash64(key), "label").limit(4 * SAMPLE).collect()
     x = np.array([r["figures"] for r in rows], float).reshape(len(rows), FIGURES)
-    return ToxicityModel(weights, fit_curve(x, np.array([r["label"] for r in rows], float)))
+    times = np.array([max(1.0, sizes[r["label"]] / SAMPLE) for r in rows], float)
+    return ToxicityModel(weights, fit_curve(x, np.array([r["label"] for r in rows], float), times))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", keep: list[str] | None = None) -> DataFrame:

@@ -50,6 +50,17 @@ def test_held_out_accuracy(spark):
     assert hit >= 0.85 * sum(r.toxic for r in rows) and hit >= 0.95 * sum(r.p for r in rows)
 
 
+def test_scores_follow_the_labels_share_beyond_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "plain words here") for i in range(1500)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 10 == 0)) for i in range(1500)], "doc_id long, toxic int")
+    share = labels.filter(split_remainder("doc_id", 3) != 1).agg(F.avg("toxic")).head()[0]
+    scores = []
+    for sample in (10_000, 300, 40):  # none cut, clean ones cut, both cut
+        monkeypatch.setattr("shipgauge.llm.toxicity.SAMPLE", sample)
+        scores.append(score_toxicity(docs.limit(1), train(docs, labels)).head().score)
+    assert all(abs(s - share) < 0.01 for s in scores), scores
+
+
 def test_nulls_repeats_clashes_and_few_labels(spark):
     rows = [(1, None, "x"), (2, "", "x"), (2, "", "x"), (None, "you idiot", None), (4, "word, " * 50000, "x")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
