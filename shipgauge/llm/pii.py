@@ -9,6 +9,16 @@ of one format have different surrogates; equal ones have equal surrogates in
 every document. Given names move within a list of one gender. A check over all
 distinct entities finds surrogates that are themselves entities of the corpus
 (or unchanged) and gives those others that are not.
+
+Phone numbers are found with 9 to 15 digits: after ``+`` or from a 0 on in any
+grouping, after an area code in brackets, as 10 digits (plain, 3-3-4, 3-7, 6-4,
+5-5), or in groups of 2 to 4. Out of reach are national numbers without a
+leading 0 in any other grouping, numbers of fewer than 9 digits, extensions,
+and marks other than blank, dot, hyphen and round brackets between digits.
+Names are found after a form of address or from a listed given name on, with
+one blank between the words. Out of reach are all other names: an unlisted
+given name with its surname ('Robert Miller'), a given name or a surname
+alone, initials, and scripts without capital letters.
 """
 
 from __future__ import annotations
@@ -34,6 +44,16 @@ MALE = "John James Peter Paul David Thomas Michael Lukas Felix Jonas Pierre Loui
 _ADDRESS = r"(?:Mrs?|Ms|Miss|Dr|Prof|Herrn?|Frau|Mme|Mlle|Sra?|Srta)\b\.? "
 _NAME = r"\p{Lu}[\p{Ll}]{1,40}"
 
+# Forms of phone numbers; a last group has two digits at least, as a single digit after a blank is likelier a word of its own.
+_COUNT = r"(?=\+?(?:[ .()-]{0,2}\d){9,15}(?!\d))"
+_PLUS = r"\+(?=[\d(])(?:[ .()-]{0,2}\d){9,15}(?<![ .()-]\d)"
+_ZERO = r"(?<!\d[.,])(?=0\d|\(0\d{1,4}\))(?:[ .()-]{0,2}\d){9,15}(?<![ .()-]\d)(?![.,]\d)"
+_AREA = _COUNT + r"\(\d{2,5}\)(?:[ .-]{0,2}\d){5,12}(?<![ .-]\d)"
+_TEN = r"(?<!\d[.,])(?:\d{3}[ .-]?\d{3}[ .-]?\d{4}|\d{5}[ .-]\d{5})(?![.,]\d)"
+_GROUPS = _COUNT + r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]{1,2}\d{2,4}){1,4}"
+# country codes of numbers without a separator after them
+_COUNTRY = r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
 # Kinds in order of preference, and their patterns.
 KINDS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@(?:[A-Za-z0-9-]{1,63}+\.){1,8}[A-Za-z]{2,24}(?![A-Za-z0-9])",
@@ -41,7 +61,7 @@ KINDS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "card": r"(?<![\w+])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2}[ -]\d{1,7}|\d{4}[ -]\d{6}[ -]\d{4,5})(?![\w-])",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
-    "phone": r"(?<![\w+(])(?=\+?(?:[ .()-]{0,2}\d){9,15}(?!\d))(?:\+\d{1,3}[ .-]?)?(?:\(\d{1,4}\)|\d{2,4})(?:[ .-]{1,2}\d{2,4}){1,4}(?!\w)",
+    "phone": rf"(?<![\w+])(?:{_PLUS}|{_ZERO}|{_AREA}|{_TEN}|{_GROUPS})(?!\w)",
     "name": rf"(?<!\w)(?:{_ADDRESS}{_NAME}(?: {_NAME}){{0,2}}|(?:{'|'.join(FEMALE + MALE)}) {_NAME})(?!\w)",
 }
 # every kind begins where no word character stands before; asked first, that settles most positions
@@ -103,6 +123,17 @@ def _ip(entity: Column, key: str) -> Column:
                                         lambda x: x.cast("string")))
 
 
+def _phone(entity: Column, key: str) -> Column:
+    """The country code stays, else a leading 0; another first digit moves last, within 1 to 9."""
+    code = F.coalesce(*(F.nullif(F.length(F.regexp_extract(entity, p, 1)), F.lit(0))
+                        for p in (r"^(\+\d{1,3})[ .(-]", f"^({_COUNTRY})")), F.lit(1))
+    at = F.length(F.regexp_extract(entity, r"^(\(?)", 1)) + 1
+    new = _moved(entity, key, DIGITS, F.when(entity.startswith("+"), code).otherwise(at))
+    place, rest = F.instr(F.lit("123456789"), F.substr(new, at, F.lit(1))), F.substr(new, at + 1)
+    first = F.substr(F.lit("123456789"), (1 + (place - 1 + _hashed(key, F.lit("first"), rest)) % 9).cast("int"), F.lit(1))
+    return F.when(entity.startswith("+") | (place == 0), new).otherwise(F.concat(F.substr(new, F.lit(1), at - 1), first, rest))
+
+
 def _names(key: str) -> dict[str, str]:
     """A keyed permutation of each gender's given names."""
     out = {}
@@ -142,13 +173,12 @@ def surrogate(entity: Column, kind: Column, key: str) -> Column:
     user, host = F.substring_index(entity, "@", 1), F.substring_index(entity, "@", -1)
     domain = F.substring_index(host, ".", -1)
     sub = F.substr(host, F.lit(1), F.length(host) - F.length(domain) - 1)
-    country = F.length(F.regexp_extract(entity, r"^(\+\d{1,3})[ .(-]", 1))
     return (F.when(kind == "email", F.concat(_moved(user, key + "u", PLAIN), F.lit("@"), _moved(sub, key + "h", PLAIN), F.lit("."),
                                              domain))
             .when(kind == "ip", _ip(entity, key + "i"))
             .when(kind == "card", _card(entity, key + "c"))
             .when(kind == "iban", _moved(entity, key + "b", PLAIN, F.lit(2)))
-            .when(kind == "phone", _moved(entity, key + "p", DIGITS, country))
+            .when(kind == "phone", _phone(entity, key + "p"))
             .when(kind == "ssn", _moved(entity, key + "s", DIGITS))
             .otherwise(_name(entity, key + "n")))
 

@@ -66,6 +66,27 @@ def test_kind_format_script_and_gender_stay(spark):
     assert got[7].split()[1] in FEMALE and len(got[7]) >= len("Sra. Lu García López") - 4
 
 
+def test_forms_of_phone_numbers(spark):
+    forms = ["+14155550123", "5551234567", "+34 612345678", "+49 30 1234567", "07700 900123", "+91 98765 43210", "98765 43210",
+             "(415) 5550123", "(415)555-0123", "(030) 1234567", "555 1234567", "415-555-0123", "+1 (988) 555-2485", "+442071838750"]
+    texts = [f"call {x}, or ({x}). {x} 5 times" for x in forms]
+    left = ["pi is 3.1415926535 or 0.0123456789", "5551234567.25 and a5551234567 and 55512345678", "0123456789abcdef", "+1 23 and 012345"]
+    got, counts = replaced(spark, texts + left)
+    assert counts == [3] * len(forms) + [0] * len(left) and got[len(forms):] == left
+    for form, new in zip(forms, got):
+        first = re.match(r"call (.*?), or", new)[1]
+        assert new == f"call {first}, or ({first}). {first} 5 times" and first != form
+        assert re.sub(r"\d", "0", first) == re.sub(r"\d", "0", form)
+        code = re.match(r"\+(?:1|34|44|49|91)|\(?0|", form)[0]
+        assert first.startswith(code) and (code or first.lstrip("(")[0] != "0")
+
+
+def test_phone_surrogates_of_one_layout_differ(spark):
+    texts = [f"({a}15) 5550{b:03}" for a in range(10) for b in range(60)]
+    rows = spark.createDataFrame([(t,) for t in texts], "e string").select(pii.surrogate(F.col("e"), F.lit("phone"), KEY)).collect()
+    assert len(set(rows)) == len(texts) and sum(r[0][1] == "0" for r in rows) == 60
+
+
 def test_same_entity_same_surrogate_different_entities_different_ones(spark):
     ids = [f"{a}{b}@x.org" for a in "abcdefghij" for b in "aeiou"] + [f"10.0.{i}.{j}" for i in range(12) for j in range(12)]
     got, _ = replaced(spark, ids + ids[::7])
