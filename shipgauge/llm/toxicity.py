@@ -153,14 +153,12 @@ class Scorer:
         class Known(dict):
             def __missing__(self, word):
                 learnt = max((weights[k] for k in keys_of(word) if k in weights), default=0.0)
-                if learnt > 0:
-                    found = (INSULT, learnt)
-                elif word in LISTED:
-                    # a listed insult that the labels speak against has weight 0
-                    symbol = LISTED[word]
-                    found = (symbol, weights.get(word, SEED_WEIGHT)) if symbol in (INSULT, THREAT) else (symbol, 0.0)
+                symbol = LISTED.get(word, INSULT if learnt > 0 else OTHER)
+                if symbol not in (INSULT, THREAT):
+                    found = (symbol, 0.0)
                 else:
-                    found = (OTHER, 0.0)
+                    # a listed insult that the labels speak against has weight 0
+                    found = (symbol, learnt or weights.get(word, SEED_WEIGHT))
                 if len(self) < KNOWN:
                     self[word] = found
                 return found

@@ -41,6 +41,12 @@ def test_clauses_weigh_context():
     assert score("not now. idiot") == plain and score("nothing here") == 0
 
 
+def test_listed_words_keep_their_part_when_learnt():
+    score = lambda t: sum(Scorer({"kill": 4.0, "kill*": 4.0, "zog": 4.0, "neve*": 4.0}).clauses(t)[0])
+    assert abs(score("kill the process") - 0.4) < 1e-9 and abs(score("they will kill")) == 4
+    assert abs(score("kills the process") - 0.4) < 1e-9 and score("zog") == 4 and score("never") == 0
+
+
 def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet")
     model = train(docs, labels)
