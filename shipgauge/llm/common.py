@@ -80,6 +80,14 @@ def summarise(df: DataFrame, inputs: list[str], fields: list[T.StructField],
     return df.select(*inputs).mapInArrow(run, schema)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, lengthened until none of the frames has such a column (in any case)."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def kept_in_worker(name: str, make: Callable):
     """``make()``, kept under ``name`` in the worker process, which Spark reuses for later tasks."""
     kept = sys.modules.setdefault("shipgauge_worker", types.ModuleType("shipgauge_worker"))

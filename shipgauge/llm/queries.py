@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, langid, packing, pii, quality, secrets, simhash, token_counts, toxicity, winnowing
+from . import codes, decontaminate, langid, packing, pii, quality, secrets, simhash, token_counts, toxicity, whitening, winnowing
 from .common import split_remainder, written
 
 
@@ -81,6 +81,25 @@ def op10_language(spark, sf_dir):
     return langid.identify(_table(spark, sf_dir, "documents"))
 
 
+def op11_whitening(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    model = whitening.fit(rows)
+    error = whitening.identity_error(rows, model)
+    explained = F.array(*(F.lit(float(v / model.total)) for v in model.variances)).cast("array<double>")
+    return (whitening.whiten(rows, model, keep=["vec_id"])
+            .select("vec_id", F.col("deviation").try_cast("long").alias("deviation"), F.posexplode("whitened").alias("at", "whitened"))
+            .select("vec_id", (F.col("at") + 1).alias("component"), F.lit(model.n).cast("long").alias("n"), "deviation", "whitened",
+                    F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error")))
+
+
+def op13_codes(spark, sf_dir):
+    rows = _table(spark, sf_dir, "embeddings")
+    books = codes.train_codebooks(rows)
+    coded = codes.with_label_error(codes.encode(rows, books, keep=["vec_id", "label"]))
+    digits = F.array_join(F.transform("code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "")
+    return coded.select("vec_id", digits.alias("code"), "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))
+
+
 QUERIES = {
     "op1_secrets": op1_secrets,
     "op2_quality": op2_quality,
@@ -92,6 +111,8 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_winnowing": op9_winnowing,
     "op10_language": op10_language,
+    "op11_whitening": op11_whitening,
+    "op13_codes": op13_codes,
 }
 
 # Queries that SQL can express.
