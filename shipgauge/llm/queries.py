@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import codes, decontaminate, langid, packing, pii, quality, secrets, simhash, token_counts, toxicity, whitening, winnowing
+from . import codes, decontaminate, langid, packing, pii, quality, repeats, secrets, simhash, token_counts, toxicity, whitening, winnowing
 from .common import split_remainder, written
 
 
@@ -92,6 +92,11 @@ def op11_whitening(spark, sf_dir):
                     F.get(explained, F.col("at")).alias("explained"), F.lit(error).alias("identity_error")))
 
 
+def op12_repeats(spark, sf_dir):
+    found = repeats.find_repeats(_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return repeats.digest(found).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op13_codes(spark, sf_dir):
     rows = _table(spark, sf_dir, "embeddings")
     books = codes.train_codebooks(rows)
@@ -112,6 +117,7 @@ QUERIES = {
     "op9_winnowing": op9_winnowing,
     "op10_language": op10_language,
     "op11_whitening": op11_whitening,
+    "op12_repeats": op12_repeats,
     "op13_codes": op13_codes,
 }
 
