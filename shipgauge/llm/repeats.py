@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import unused
+from .common import unused, written
 
 WINDOW = 13
 ANCHOR = 5
@@ -186,7 +186,7 @@ def _shared_windows(listed: DataFrame, names: tuple[str, str, str, str], window:
             yield pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), pa.array(keys[doc[first]]), pa.array(ids[doc[first]]),
                                               pa.array(at[first]), pa.array(words, pa.binary())], schema=arrow)
 
-    return listed.select(*names).mapInArrow(run, T.StructType(fields))
+    return listed.mapInArrow(run, T.StructType(fields))
 
 
 def _members(pairs: np.ndarray, asked: np.ndarray) -> np.ndarray:
@@ -290,12 +290,15 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     shared = shared_anchors(rows, names, window, anchor)
     own = own_anchors(rows, names, window, anchor).join(shared.hint("shuffle_hash"), "anchor")
     few, many, marked = (unused(f"_{n}", docs) for n in ("few", "many", "marks"))
-    lists = own.groupBy(F.col("row").alias(names[2])).agg(
+    lists = written(own.groupBy(F.col("row").alias(names[2])).agg(
         F.collect_set(F.when(F.col("n") <= group, F.col("anchor"))).alias(few),
-        F.collect_set(F.when(F.col("n") > group, F.col("anchor"))).alias(many))
-    listed = rows.join(lists, names[2])  # the exchange of the rows serves the last join, too
-    marks = (marks_of_trees(_shared_windows(listed, (*names, few), window, anchor, False), window, block)
-             .unionByName(marks_of_nodes(_shared_windows(listed.filter(F.size(many) > 0), (*names, many), window, anchor, True))))
+        F.collect_set(F.when(F.col("n") > group, F.col("anchor"))).alias(many)), "shared-anchors")
+    # all columns go into the tasks, so that the rows' exchange is the last join's, too
+    listed = rows.join(lists.select(names[2], few), names[2])
+    marks = marks_of_trees(_shared_windows(listed, (*names, few), window, anchor, False), window, block)
+    large = lists.filter(F.size(many) > 0).select(names[2], many)
+    if not large.isEmpty():
+        marks = marks.unionByName(marks_of_nodes(_shared_windows(rows.join(large, names[2]), (*names, many), window, anchor, True)))
     marks = marks.groupBy(F.col("row").alias(names[2])).agg(F.collect_set(F.struct("key", "start", "bits")).alias(marked))
     schema = T.StructType([docs.schema[c] for c in keep] + made)
     arrow = to_arrow_schema(schema)
