@@ -25,7 +25,6 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +38,7 @@ GROUP = 20_000   # rows of one anchor that a suffix tree takes
 BLOCK = 20_000   # rows whose suffix trees one step builds, besides a group
 SLICE = 1 << 20  # bytes of text whose words one step holds as numbers, besides a text
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # any odd 64-bit number
+OTHER = np.uint64(0xC2B2AE3D27D4EB4F)       # another one
 NO_KEY = (1 << 63) - 1
 
 
@@ -48,12 +48,27 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def words_of(texts: list[str | None]) -> tuple[list[list[bytes]], np.ndarray]:
-    """Each text's words (UTF-8), and all words' hashes one after the other."""
-    split = [(t or "").encode("utf-8", "surrogatepass").split() for t in texts]  # bytes split at ASCII blanks only
-    column = pa.array([w for words in split for w in words], pa.binary()).dictionary_encode()
-    kinds = np.array([xxhash.xxh64_intdigest(w) for w in column.dictionary.to_pylist()], np.uint64)
-    return split, kinds[column.indices.to_numpy()] if len(kinds) else kinds
+def words_of(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """(number of each word, the words that the numbers mean, words in each text) of the texts one after the other."""
+    lists = pc.ascii_split_whitespace(texts)
+    found = lists.flatten().dictionary_encode()
+    number, kinds = found.indices.to_numpy(), found.dictionary
+    doc = np.repeat(np.arange(len(texts)), pc.list_value_length(lists).to_numpy())
+    real = number != pc.index(kinds, "").as_py()  # blanks at the ends of a text make empty words
+    return number[real], kinds, np.bincount(doc[real], minlength=len(texts))
+
+
+def word_hashes(words: pa.Array, base: np.uint64 = MULTIPLIER) -> np.ndarray:
+    """A 64-bit hash of each word's bytes: a polynomial in ``base``, odd, mixed with the length."""
+    offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset:words.offset + len(words) + 1].astype(np.int64)
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0]:offsets[-1]]
+    starts, lengths = offsets[:-1] - offsets[0], np.diff(offsets)
+    powers = np.multiply.accumulate(np.full(int(lengths.max()) + 1, base, np.uint64))
+    terms = (data.astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(data)) - np.repeat(starts, lengths)]
+    sums = np.where(lengths > 0, np.add.reduceat(np.append(terms, np.uint64(0)), starts), np.uint64(0))
+    return mixed(sums + lengths.astype(np.uint64) * OTHER)
 
 
 def run_hashes(hashes: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
@@ -91,6 +106,14 @@ def anchors(hashes: np.ndarray, counts: np.ndarray, window: int, anchor: int):
     return doc, at, runs[spot], new
 
 
+def joined(number: np.ndarray, kinds: pa.Array, starts: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    """Words ``starts[i]`` and on, ``sizes[i]`` of them, joined by one blank."""
+    ends = np.concatenate(([0], np.cumsum(sizes)))
+    spots = np.arange(ends[-1]) + np.repeat(starts - ends[:-1], sizes)
+    words = kinds.take(pa.array(number[spots]))
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), words), " ")
+
+
 def _read(docs: DataFrame, key: str, text: str, keep: list[str]) -> DataFrame:
     """``keep``, and under unused names: the key (null: the largest), the text (null: empty) and a number for the row."""
     names = {n: unused(f"_{n}", docs) for n in ("key", "text", "row")}
@@ -107,9 +130,8 @@ def _each_slice(batches, key: str, text: str, row: str):
             if len(ends) else []
         for at, end in zip(cuts, cuts[1:], strict=False):
             part = batch.slice(at, end - at)
-            split, hashes = words_of(part.column(text).to_pylist())
-            yield (part, part.column(key).to_numpy(), part.column(row).to_numpy(), split, hashes,
-                   np.array([len(w) for w in split], np.int64))
+            number, kinds, counts = words_of(part.column(text))
+            yield part, part.column(key).to_numpy(), part.column(row).to_numpy(), number, kinds, counts
 
 
 def shared_anchors(rows: DataFrame, names: tuple[str, str, str], window: int, anchor: int) -> DataFrame:
@@ -118,8 +140,8 @@ def shared_anchors(rows: DataFrame, names: tuple[str, str, str], window: int, an
     arrow = to_arrow_schema(T.StructType(fields))
 
     def run(batches):
-        for _, keys, _, _, hashes, counts in _each_slice(batches, *names):
-            doc, _, found, first = anchors(hashes, counts, window, anchor)
+        for _, keys, _, number, kinds, counts in _each_slice(batches, *names):
+            doc, _, found, first = anchors(word_hashes(kinds)[number], counts, window, anchor)
             found, own = found[first], keys[doc[first]]
             order = np.lexsort((own, found))
             found, own = found[order], own[order]
@@ -139,8 +161,8 @@ def own_anchors(rows: DataFrame, names: tuple[str, str, str], window: int, ancho
     arrow = to_arrow_schema(T.StructType(fields))
 
     def run(batches):
-        for _, _, ids, _, hashes, counts in _each_slice(batches, *names):
-            doc, _, found, new = anchors(hashes, counts, window, anchor)
+        for _, _, ids, number, kinds, counts in _each_slice(batches, *names):
+            doc, _, found, new = anchors(word_hashes(kinds)[number], counts, window, anchor)
             doc, found = doc[new], found[new]
             order = np.lexsort((doc, found))
             doc, found = doc[order], found[order]
@@ -153,7 +175,7 @@ def own_anchors(rows: DataFrame, names: tuple[str, str, str], window: int, ancho
 
 # one anchor's windows in one row: those from word ``start`` on, as many as ``words`` has beyond a window less one
 LEAVES = [T.StructField("anchor", T.LongType()), T.StructField("key", T.LongType()), T.StructField("row", T.LongType()),
-          T.StructField("start", T.LongType()), T.StructField("words", T.BinaryType())]
+          T.StructField("start", T.LongType()), T.StructField("words", T.StringType())]
 # a window of a large group: its 128-bit hash in place of its words
 NODES = [T.StructField(c, T.LongType()) for c in ("high", "low", "key", "row", "start")]
 MARKS = [T.StructField("key", T.LongType()), T.StructField("row", T.LongType()), T.StructField("start", T.LongType()),
@@ -165,8 +187,8 @@ def _shared_windows(listed: DataFrame, names: tuple[str, str, str, str], window:
     fields = NODES if large else LEAVES
     arrow = to_arrow_schema(T.StructType(fields))
     def run(batches):
-        for part, keys, ids, split, hashes, counts in _each_slice(batches, *names[:3]):
-            doc, at, found, new = anchors(hashes, counts, window, anchor)
+        for part, keys, ids, number, kinds, counts in _each_slice(batches, *names[:3]):
+            doc, at, found, new = anchors(word_hashes(kinds)[number], counts, window, anchor)
             lists = part.column(names[3])
             wanted = lists.flatten().to_numpy()
             sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
@@ -175,16 +197,16 @@ def _shared_windows(listed: DataFrame, names: tuple[str, str, str, str], window:
             asked = np.stack([np.repeat(np.arange(len(sizes)), sizes), wanted], axis=1)
             mine = _members(pairs, asked)
             doc, at, found, new = doc[mine], at[mine], found[mine], new[mine]  # a run is listed as a whole or not
+            starts = np.concatenate(([0], np.cumsum(counts)[:-1]))[doc] + at
             if large:
-                starts = np.concatenate(([0], np.cumsum(counts)[:-1]))[doc] + at
-                halves = [run_hashes(hashes, window, seed)[starts].view(np.int64) for seed in (1, 2)]
+                halves = [run_hashes(word_hashes(kinds, base)[number], window, 1)[starts].view(np.int64) for base in (MULTIPLIER, OTHER)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*halves, keys[doc], ids[doc], at)], schema=arrow)
                 continue
             first = np.flatnonzero(new)
-            last = np.append(first[1:], len(doc))[:len(first)] - 1
-            words = [b" ".join(split[d][a:b + window]) for d, a, b in zip(doc[first].tolist(), at[first].tolist(), at[last].tolist(), strict=True)]
+            sizes = np.diff(np.append(first, len(doc))) + window - 1
+            words = joined(number, kinds, starts[first], sizes)
             yield pa.RecordBatch.from_arrays([pa.array(found[first].view(np.int64)), pa.array(keys[doc[first]]), pa.array(ids[doc[first]]),
-                                              pa.array(at[first]), pa.array(words, pa.binary())], schema=arrow)
+                                              pa.array(at[first]), words], schema=arrow)
 
     return listed.mapInArrow(run, T.StructType(fields))
 
@@ -200,15 +222,15 @@ def _members(pairs: np.ndarray, asked: np.ndarray) -> np.ndarray:
     return known & np.isin(pairs[:, 0] * width + place, asked[:, 0] * width + np.searchsorted(kinds, asked[:, 1]))
 
 
-def tree_nodes(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def tree_nodes(words: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The suffix trees' nodes at depth ``window``: (row, offset, node) of every window of the rows' words.
 
     Nodes are numbered by pairs of nodes of half the depth, from the words on,
     so equal numbers mean equal words, not equal hashes.
     """
-    split = [w.split(b" ") for w in words]
-    counts = np.array([len(s) for s in split], np.int64)
-    node = pa.array([w for s in split for w in s], pa.binary()).dictionary_encode().indices.to_numpy().astype(np.int64)
+    split = pc.split_pattern(words, " ")
+    counts = pc.list_value_length(split).to_numpy().astype(np.int64)
+    node = split.flatten().dictionary_encode().indices.to_numpy().astype(np.int64)
     depth = 1
     while depth < window:
         step = min(depth, window - depth)  # the second half may overlap the first
@@ -222,7 +244,7 @@ def tree_nodes(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray,
     return row[inside], offset[inside], node[inside]
 
 
-def _marked(words: list[bytes], keys: np.ndarray, window: int) -> np.ndarray:
+def _marked(words: pa.Array, keys: np.ndarray, window: int) -> np.ndarray:
     """Bits of each row's windows that also are in a document of a smaller key."""
     row, offset, node = tree_nodes(words, window)
     least = np.full(int(node.max(initial=0)) + 1, NO_KEY)
@@ -240,7 +262,7 @@ def marks_of_trees(leaves: DataFrame, window: int, block: int) -> DataFrame:
 
     def build(table: pa.Table):
         keys = table.column("key").to_numpy()
-        bits = _marked(table.column("words").to_pylist(), keys, window)
+        bits = _marked(table.column("words").combine_chunks(), keys, window)
         some = np.flatnonzero(bits)
         return pa.RecordBatch.from_arrays([pa.array(keys[some]), pa.array(table.column("row").to_numpy()[some]),
                                            pa.array(table.column("start").to_numpy()[some]), pa.array(bits[some])], schema=arrow)
@@ -266,7 +288,8 @@ def marks_of_trees(leaves: DataFrame, window: int, block: int) -> DataFrame:
 
 def marks_of_nodes(nodes: DataFrame) -> DataFrame:
     """Marks of large groups, whose windows are nodes of their own: an aggregate, joined back."""
-    least = nodes.groupBy("high", "low").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least < most")
+    least = written(nodes.groupBy("high", "low").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least < most"),
+                    "large-groups")
     found = nodes.join(least.hint("shuffle_hash"), ["high", "low"])
     return found.filter("key > least").select("key", "row", "start", F.lit(1).cast("long").alias("bits"))
 
@@ -287,7 +310,8 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     keep = [c for c in (docs.columns if keep is None else keep) if c not in ("kept", "n_words", "n_removed")]
     rows = _read(docs, key, text, keep)
     names = tuple(rows.columns[len(keep):])
-    shared = shared_anchors(rows, names, window, anchor)
+    # tables of their own, so that both sides of the joins below are plain exchanges, which adaptive execution can split
+    shared = written(shared_anchors(rows, names, window, anchor), "anchors")
     own = own_anchors(rows, names, window, anchor).join(shared.hint("shuffle_hash"), "anchor")
     few, many, marked = (unused(f"_{n}", docs) for n in ("few", "many", "marks"))
     lists = written(own.groupBy(F.col("row").alias(names[2])).agg(
@@ -304,29 +328,25 @@ def find_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", keep:
     arrow = to_arrow_schema(schema)
 
     def run(batches):
-        for batch in batches:
-            kept, n_words, n_removed = [], [], []
-            for own, body, marks_here in zip(*(batch.column(c).to_pylist() for c in (names[0], names[1], marked)), strict=True):
-                words = (body or "").encode("utf-8", "surrogatepass").split()
-                n_words.append(len(words))
-                gone = np.zeros(len(words) + 1, np.int64)
-                for mark in marks_here or ():
-                    some = mark["bits"] if mark["key"] == own else 0
-                    while some:
-                        low = some & -some
-                        first = mark["start"] + low.bit_length() - 1
-                        gone[first] += 1
-                        gone[first + window] -= 1
-                        some ^= low
-                stay = np.cumsum(gone[:-1]) == 0
-                n_removed.append(len(words) - int(stay.sum()))
-                if n_removed[-1]:
-                    words = [w for w, s in zip(words, stay.tolist(), strict=True) if s]
-                kept.append(b" ".join(words))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(kept, pa.binary()).cast(pa.string()),
-                                              pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64())], schema=arrow)
-
-    return rows.join(marks, names[2], "left").select(*keep, names[0], names[1], marked).mapInArrow(run, schema)
+        for part, keys, _, number, kinds, counts in _each_slice(batches, *names):
+            starts = np.concatenate(([0], np.cumsum(counts)))
+            lists = part.column(marked)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+            doc, (own, at, bits) = np.repeat(np.arange(len(sizes)), sizes), (x.to_numpy() for x in lists.flatten().flatten())
+            mine = own == keys[doc]
+            first, bits = (starts[doc] + at)[mine], bits[mine]
+            gone = np.zeros(len(number) + 1, np.int64)
+            for bit in range(int(bits.max(initial=0)).bit_length()):
+                here = first[(bits >> bit & 1) == 1] + bit
+                np.add.at(gone, here, 1)
+                np.add.at(gone, here + window, -1)
+            stay = np.cumsum(gone[:-1]) == 0
+            left = np.diff(np.concatenate(([0], np.cumsum(stay)))[starts])
+            kept = joined(number[stay], kinds, np.concatenate(([0], np.cumsum(left)[:-1])), left)
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), kept, pa.array(counts, pa.int64()),
+                                              pa.array(counts - left, pa.int64())], schema=arrow)
+
+    return rows.join(marks, names[2], "left").select(*keep, *names, marked).mapInArrow(run, schema)
 
 
 def digest(docs: DataFrame) -> DataFrame:
