@@ -114,8 +114,8 @@ class PipelineConfig:
     high_mttr_above_hours: int = HIGH_MTTR_ABOVE_HOURS
     short_window_rows: int = SHORT_WINDOW_ROWS
     long_window_rows: int = LONG_WINDOW_ROWS
-    # lead times within so many days of each other are counted up in one task; changes no result
-    quantile_range_days: float = 0.25
+    # a (day, team) with more merged PRs than this finds its quantiles by way of a sketch; changes no result
+    quantile_large_group: float = 50_000
     score: ScoreConfig = field(default_factory=ScoreConfig)
     pairing: PairingConfig = field(default_factory=PairingConfig)
 

@@ -56,34 +56,27 @@ def dora_daily(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     opened and closed.
 
     Counts and means are a plain hash aggregate over all rows, the quantiles
-    are exact and split (:func:`lead_time_quantiles`). The two kinds of
-    team-day rows are stacked and merged by a second aggregate, in which a
-    NULL team or day is a group like any other.
+    are exact and split (:func:`lead_time_quantiles`). They join on a struct of
+    day and team, which is unique on their side and never NULL: a NULL team or
+    day keeps its quantiles, and whoever reads neither p50 nor p95 pays for
+    neither, as the optimiser then drops the join.
     """
     counts = dora_inputs(stg).groupBy("date_day", "team").agg(*dora_aggregates(quantiles=False))
-    stacked = counts.unionByName(_quantile_rows(_prs(stg), cfg), allowMissingColumns=True)
-    merged = stacked.groupBy("date_day", "team").agg(
-        *[F.max(c).alias(c) for c in stacked.columns if c not in ("date_day", "team")])
+    quantiles = (lead_time_quantiles(stg, cfg).groupBy(F.struct("date_day", "team").alias("_day_team"))
+                 .agg(*[F.first(name).alias(name) for name in QUANTILES]))
+    merged = counts.withColumn("_day_team", F.struct("date_day", "team")).join(quantiles, "_day_team", "left")
     return merged.select("date_day", "team", "deployment_count", "avg_lead_time_days",
                          "p50_lead_time_days", "p95_lead_time_days", "ci_run_count", "ci_failure_count",
                          "ci_failure_rate", "incidents_opened", "incidents_closed")
 
 
-def _prs(stg: DataFrame) -> DataFrame:
-    return stg.where(F.col("is_pr_merged")).select(F.col("event_day").alias("date_day"), "team", "lead_time_days")
-
-
-def _quantile_rows(prs: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    return exact_quantiles(prs, ["date_day", "team"], "lead_time_days", QUANTILES, cfg.quantile_range_days)
-
-
 def lead_time_quantiles(stg: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """p50 / p95 of merged-PR lead time per (date_day, team), days with PRs only:
-    the observed value at rank ``ceil(p * n)``, exact for a group of any size."""
-    prs = _prs(stg)
-    counts = prs.groupBy("date_day", "team").agg(F.count(F.lit(1)).alias("pr_count"))
-    return counts.unionByName(_quantile_rows(prs, cfg), allowMissingColumns=True).groupBy("date_day", "team").agg(
-        *[F.max(c).alias(c) for c in ("pr_count", *QUANTILES)])
+    the observed value at rank ``ceil(p * n)``, exact for a group of any size.
+    ``pr_count`` counts all merged PRs, those without a lead time too; a day
+    without any lead time has a row with NULL quantiles."""
+    prs = stg.where(F.col("is_pr_merged")).select(F.col("event_day").alias("date_day"), "team", "lead_time_days")
+    return exact_quantiles(prs, ["date_day", "team"], "lead_time_days", QUANTILES, cfg.quantile_large_group, rows="pr_count")
 
 
 def with_dora_rolling(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:

@@ -86,11 +86,11 @@ def test_quantiles_of_a_null_team(spark):
     assert [(r.team, r.avg_lead_time_days, r.p50_lead_time_days, r.p95_lead_time_days) for r in got] == [(None, 2.0, 2.0, 3.0)]
 
 
-@pytest.mark.parametrize("n, width", [(200_000, 0.25), (2_000_000, 0.25), (50_000, 1e9), (50_000, 1e-3), (1, 0.25)])
-def test_quantiles_are_exact_at_any_size(spark, n, width):
+@pytest.mark.parametrize("n, large", [(200_000, 0), (2_000_000, 50_000), (50_000, 1e9), (50_000, 100), (1, 0)])
+def test_quantiles_are_exact_at_any_size(spark, n, large):
     value = (F.pmod(F.xxhash64("id"), F.lit(10_000_019)) / 200_000.0 - 7.0).alias("v")
     df = spark.range(n).select(F.lit("g").alias("g"), value)
-    got = exact_quantiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p100": 1.0}, width, count="n").collect()
+    got = exact_quantiles(df, ["g"], "v", {"p50": 0.5, "p95": 0.95, "p100": 1.0}, large, count="n").collect()
     values = sorted(r.v for r in df.select("v").toLocalIterator()) if n <= 200_000 else df.toPandas()["v"].sort_values().tolist()
     want = [values[math.ceil(p * n) - 1] for p in (0.5, 0.95, 1.0)]
     assert [tuple(r) for r in got] == [("g", n, *want)]
@@ -100,3 +100,23 @@ def test_quantiles_with_ties_and_nulls(spark):
     rows = [("a", v) for v in [1.0, 1.0, 1.0, 2.0, None, -3.5]] + [("b", None), (None, 4.0), (None, 4.0)]
     got = exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"p": 0.5}, 0.5).collect()
     assert sorted((r.g or "", r.p) for r in got) == [("", 4.0), ("a", 1.0)]
+
+
+@pytest.mark.parametrize("large", [0, 1000])
+def test_quantiles_with_nan_and_infinity(spark, large):
+    inf, nan = float("inf"), float("nan")
+    rows = ([("a", v) for v in (1.0, 2.0, 3.0, nan, nan)] + [("b", v) for v in (inf, inf, nan, -inf, 0.0)] + [("c", nan)]
+            + [("d", 7.0)] * 300 + [("e", None)])
+    got = {r.g: (r.p50, r.p95) for r in exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v",
+                                                        {"p50": 0.5, "p95": 0.95}, large).collect()}
+    same = lambda x, y: x == y or (math.isnan(x) and math.isnan(y))
+    want = {"a": (3.0, nan), "b": (inf, nan), "c": (nan, nan), "d": (7.0, 7.0)}
+    assert got.keys() == want.keys()
+    assert all(same(x, y) for g in want for x, y in zip(got[g], want[g], strict=True))
+
+
+@pytest.mark.parametrize("large", [0, 1000])
+def test_quantiles_count_rows_without_value(spark, large):
+    rows = [("a", 1.0), ("a", None), ("b", None), (None, 2.0)]
+    got = exact_quantiles(spark.createDataFrame(rows, "g string, v double"), ["g"], "v", {"p": 0.5}, large, count="n", rows="all")
+    assert sorted((r.g or "", r.n, r["all"], r.p) for r in got.collect()) == [("", 1, 1, 2.0), ("a", 1, 2, 1.0), ("b", 0, 1, None)]

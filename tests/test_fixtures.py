@@ -122,14 +122,14 @@ def test_ci_rates_and_unknown_outcome(spark):
     assert got["b"]["ci_failure_rate"] is None
 
 
-@pytest.mark.parametrize("days", [0.25, 1000.0])
-def test_t9_quantiles(spark, days):
+@pytest.mark.parametrize("large", [0, 1000])
+def test_t9_quantiles(spark, large):
     from shipgauge.config import PipelineConfig
 
     ev = [_dep(i, "a", at(), "pr_merged", lead=float(v)) for i, v in enumerate([1, 2, 3, 4])]
     ev += [_dep(9, "b", at(), "pr_merged", lead=None)]
     stg = stage_delivery_events(delivery(spark, ev))
-    got = {r["team"]: r for r in as_dicts(rollups.dora_daily(stg, PipelineConfig(quantile_range_days=days)))}
+    got = {r["team"]: r for r in as_dicts(rollups.dora_daily(stg, PipelineConfig(quantile_large_group=large)))}
     assert (got["a"]["p50_lead_time_days"], got["a"]["p95_lead_time_days"]) == (2.0, 4.0)
     assert (got["b"]["p50_lead_time_days"], got["b"]["p95_lead_time_days"]) == (None, None)
 
