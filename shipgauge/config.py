@@ -93,15 +93,16 @@ class ScoreConfig:
 
 @dataclass(frozen=True)
 class PairingConfig:
-    """How next-event pairing splits its work.
+    """How next-event pairing and numbering split their work.
 
-    ``bucket`` is a ``timestamp_diff`` unit ("day", "hour", "minute", ...). Each
-    (key, bucket) is one window partition, so the largest task holds one key's
-    events of one bucket, however skewed the keys are. ``None`` pairs with a
-    single window per key, which is faster when no key is hot.
+    ``bucket`` names ``timestamp_diff`` units, coarse to fine (one unit may
+    stand alone). The largest window partition then holds one key's instants of
+    one of the finest buckets, or as many rows as a bucket has children, however
+    skewed the keys are and wherever their events fall. ``None`` scans each key
+    in a single window, which is faster when no key is hot.
     """
 
-    bucket: str | None = "hour"
+    bucket: str | tuple[str, ...] | None = ("hour", "second")
 
 
 @dataclass(frozen=True)

@@ -36,10 +36,10 @@ def _brute_pairs(rows, distinct):
     return out
 
 
-@pytest.mark.parametrize("bucket", [None, "hour", "day", "minute"])
+@pytest.mark.parametrize("bucket", [None, "hour", "day", "minute", ("hour", "second"), ("day", "hour", "minute")])
 @pytest.mark.parametrize("distinct", [False, True])
 def test_pair_next_matches_brute_force(spark, bucket, distinct):
-    rows = _random_events(seed=7 + (bucket or "x").__len__())
+    rows = _random_events(seed=7 + len(bucket or "x"))
     df = spark.createDataFrame(rows, "case int, key string, eid string, ts timestamp, kind string")
     got = pair_next(df, ["case", "key"], "ts", F.col("kind") == "open", F.col("kind") == "close",
                     keep=["eid"], out="nxt", bucket=bucket, distinct_opens=distinct).collect()
@@ -52,7 +52,7 @@ def test_pair_next_matches_brute_force(spark, bucket, distinct):
         assert len(got) == len(want)
 
 
-@pytest.mark.parametrize("bucket", [None, "hour", "minute"])
+@pytest.mark.parametrize("bucket", [None, "hour", "minute", ("hour", "second"), ("day", "hour", "minute")])
 def test_sequence_number_matches_row_number(spark, bucket):
     rows = _random_events(seed=11)
     df = spark.createDataFrame(rows, "case int, key string, eid string, ts timestamp, kind string")
@@ -78,6 +78,31 @@ def test_hot_key_bucketed_equals_single_window(spark):
     ev = spark.read.parquet("/root/testdata/sf0.01/events.parquet").withColumn("user_id", F.lit(1))
     stg = stage_delivery_events(adapt_delivery_events(ev))
     a = fct_incidents(stg, PipelineConfig(pairing=PairingConfig(bucket=None)))
-    b = fct_incidents(stg, PipelineConfig(pairing=PairingConfig(bucket="hour")))
-    assert a.count() == b.count() == 2014
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    for bucket in ("hour", ("hour", "second")):
+        b = fct_incidents(stg, PipelineConfig(pairing=PairingConfig(bucket=bucket)))
+        assert a.count() == b.count() == 2014
+        assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_attached_tables_reach_every_numbered_row(spark):
+    rows = _random_events(seed=5)
+    df = spark.createDataFrame(rows, "case int, key string, eid string, ts timestamp, kind string")
+    per_key = spark.createDataFrame([("a", 1.5), ("hot", 2.5)], "key string, weight double")
+    per_case = spark.createDataFrame([(c, f"case {c}") for c in range(0, 12, 2)], "case int, label string")
+    plain, split = (sequence_number(df, ["case", "key"], ["ts", "eid"], "seq", bucket=bucket,
+                                    attach=[(per_key, ["key"]), (per_case, ["case"])])
+                    .select("case", "key", "eid", "ts", "kind", "seq", "weight", "label")
+                    for bucket in (None, ("hour", "second")))
+    assert plain.count() == split.count() == len(rows)
+    assert plain.exceptAll(split).count() == 0
+
+
+def test_no_window_holds_a_hot_hour(spark):
+    """One key, one hour, 20,000 instants: no task of the finest windows reads more than a small share of them."""
+    ts = F.timestamp_micros(F.lit(1_704_880_800_000_000) + F.pmod(F.xxhash64("id"), F.lit(3_600_000_000)))
+    df = spark.range(20_000).select(F.lit("hot").alias("key"), F.col("id").alias("eid"), ts.alias("ts"), (F.col("id") % 2).alias("kind"))
+    paired = {b: pair_next(df, ["key"], "ts", F.col("kind") == 0, F.col("kind") == 1, ["eid"], out="nxt", bucket=b)
+              for b in (None, ("hour", "second"))}
+    assert paired[None].exceptAll(paired[("hour", "second")]).count() == 0
+    held = (df.groupBy("key", F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp"), "ts").alias("second")).count())
+    assert held.agg(F.max("count")).first()[0] < 40  # what one window partition of the finest level holds

@@ -2,11 +2,12 @@
 
 Builds (once) a scaled copy of the sf0.1 event log -- ``copies`` copies with
 fresh event ids; every third event is moved onto user 0, the rest keep one
-user per copy -- then pairs incidents with the single-window plan and with
-the bucketed plan, checks both give the same rows, and reads Spark's event
-log for the largest task of each run.
+user per copy -- then pairs incidents with the single-window plan, with hour
+buckets and with the hierarchy of hours and seconds, checks that they give the
+same rows, and reads Spark's event log for the largest task of each run. With
+``one-hour`` all of user 0's events fall in one hour.
 
-Usage: python tools/skew_demo.py <scratch_dir> [copies]
+Usage: python tools/skew_demo.py <scratch_dir> [copies] [one-hour]
 """
 
 from __future__ import annotations
@@ -27,14 +28,20 @@ from pyspark.sql import functions as F  # noqa: E402
 import shipgauge.session as S  # noqa: E402
 
 
-def build_copy(spark, src, dst, copies):
+def build_copy(spark, src, dst, copies, one_hour=False):
     ev = spark.read.parquet(src)
     n = ev.count()
     users = ev.agg(F.max("user_id")).first()[0] + 1
     replicated = ev.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)).cast("array<bigint>")))
+    hot = (F.col("event_id") + F.col("copy") * n) % 3 == 0
+    ts = F.col("ts")
+    if one_hour:
+        spot = F.pmod(F.xxhash64("event_id", "copy"), F.lit(3_600_000_000))
+        hour = F.lit("2024-01-10 12:00:00").cast("timestamp_ntz")
+        ts = F.when(hot, hour + F.make_dt_interval(secs=(spot / 1_000_000).cast("decimal(18,6)"))).otherwise(ts.cast("timestamp_ntz"))
     big = replicated.select(
-        (F.col("event_id") + F.col("copy") * n).alias("event_id"), "ts",
-        F.when((F.col("event_id") + F.col("copy") * n) % 3 == 0, F.lit(0))
+        (F.col("event_id") + F.col("copy") * n).alias("event_id"), ts.alias("ts"),
+        F.when(hot, F.lit(0))
          .otherwise(F.col("user_id") + F.col("copy") * users).alias("user_id"),
         "event_type", "value", "props")
     big.write.option("maxRecordsPerFile", 250_000).parquet(dst)
@@ -67,7 +74,8 @@ def task_stats(log_dir, t_from, t_to):
 def main():
     scratch = sys.argv[1]
     copies = int(sys.argv[2]) if len(sys.argv) > 2 else 30
-    data = f"{scratch}/events_x{copies}"
+    one_hour = sys.argv[3:] == ["one-hour"]
+    data = f"{scratch}/events_x{copies}{'_one_hour' if one_hour else ''}"
     logs = f"{scratch}/eventlog"
     os.makedirs(logs, exist_ok=True)
     b = (SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
@@ -81,7 +89,7 @@ def main():
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     if not os.path.exists(data):
-        build_copy(spark, "/root/testdata/sf0.1/events.parquet", data, copies)
+        build_copy(spark, "/root/testdata/sf0.1/events.parquet", data, copies, one_hour)
 
     from shipgauge.config import PairingConfig, PipelineConfig
     from shipgauge.operators.staging import stage_delivery_events
@@ -92,14 +100,14 @@ def main():
     stg = stage_delivery_events(adapt_delivery_events(ev))
     result = {"events": ev.count(), "hot_team_share": round(ev.where("user_id = 0").count() / ev.count(), 3)}
     runs = {}
-    for label, bucket in (("single_window", None), ("bucketed_hour", "hour")):
+    for label, bucket in (("single_window", None), ("hour", "hour"), ("hour_second", ("hour", "second"))):
         df = fct_incidents(stg, PipelineConfig(pairing=PairingConfig(bucket=bucket)))
         t0 = time.time()
         df.write.format("noop").mode("overwrite").save()
         t1 = time.time()
         runs[label] = {"sec": round(t1 - t0, 2), "window": (int(t0 * 1000), int(t1 * 1000))}
     a = fct_incidents(stg, PipelineConfig(pairing=PairingConfig(bucket=None)))
-    b2 = fct_incidents(stg, PipelineConfig(pairing=PairingConfig(bucket="hour")))
+    b2 = fct_incidents(stg, PipelineConfig(pairing=PairingConfig()))
     result["same_rows"] = a.exceptAll(b2).count() == 0 and b2.exceptAll(a).count() == 0
     result["incidents"] = a.count()
     spark.stop()
