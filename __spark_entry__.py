@@ -10,21 +10,23 @@ import os
 import sys
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from oracle_sql import AS_OF_DATE, FRESHNESS_AS_OF, ORACLE_SQL  # noqa: E402
 from shipgauge import config as C  # noqa: E402
+from shipgauge.functions.catalog import TableCatalog  # noqa: E402
 from shipgauge.operators import quality, rollups, staging  # noqa: E402
 from shipgauge.operators.rolling import Rolling, add_calendar_rolling  # noqa: E402
 from shipgauge.plans import facts, reports, semantic  # noqa: E402
 from shipgauge.plans.health import build_health_inputs, health_scores, platform_health_joined  # noqa: E402
-from shipgauge.plans.pipeline import build, generic_sources, register_views, run  # noqa: E402
+from shipgauge.plans.pipeline import build, build_facts, generic_sources, materialize, register_views, run  # noqa: E402
 from shipgauge.schemas import DELIVERY_EVENTS  # noqa: E402
 from shipgauge.session import scratch_path  # noqa: E402
 from shipgauge.sources.events import read_delivery_events, read_ml_events  # noqa: E402
+from shipgauge.sources.raw_tables import read_raw_table, save_raw_table  # noqa: E402
 from shipgauge.sources.sinks import ingest_overwrite  # noqa: E402
 
 FLAGSHIP_DIR = "/root/testdata/sf0.001"
@@ -92,11 +94,7 @@ def _freshness(spark, d):
 
 def _dq_report(spark, d):
     src = _src(spark, d)
-    m = build(src)
-    tables = {"raw_delivery_events": src.delivery, "raw_ml_events": src.ml,
-              "stg_delivery_events": m["stg_delivery_events"], "stg_ml_events": m["stg_ml_events"],
-              "dim_teams": m["dim_teams"], "fct_deployments": m["fct_deployments"],
-              "fct_incidents": m["fct_incidents"], "fct_ml_runs": m["fct_ml_runs"]}
+    tables = {"raw_delivery_events": src.delivery, "raw_ml_events": src.ml, **build_facts(src)}
     tests = quality.declared_tests(C.TEAMS, C.MODEL_NAMES, C.DELIVERY_EVENT_TYPES, C.ML_EVENT_TYPES,
                                    C.PSI_SEVERITIES, C.SLA_TIERS)
     return quality.run_tests(tables, tests)
@@ -126,17 +124,51 @@ def _typed_events(spark, d, which):
 
 
 def _sql_over_views(spark, d):
-    register_views(build(_src(spark, d)))
+    register_views(build_facts(_src(spark, d)))
     return spark.sql("""select t.domain, count(*) as deployments, min(f.deployed_at) as first_at
                         from fct_deployments f join (select distinct team, domain from dim_teams) t on t.team = f.team
                         group by t.domain""")
 
 
-def _worst_first(spark, d):
-    """The alert report with each row's place in it."""
-    mart = _mart(spark, d)
-    return reports.health_report(mart).select(
-        F.row_number().over(Window.orderBy(F.asc("health_score"), "team")).alias("place"), "team", "health_score")
+def _dim_from_table(spark, d):
+    """The dimension from a catalog kept as a table, written from the log: every seventh team is missing."""
+    src, path = _src(spark, d), scratch_path(spark, "team_catalog")
+    teams = src.ml.select("team").distinct().where(F.substring_index("team", "-", -1).cast("bigint") % 7 != 0)
+    src.catalog.attach(teams).write.parquet(path)
+    return facts.dim_teams(staging.stage_ml_events(src.ml), TableCatalog(spark.read.parquet(path)))
+
+
+def _raw_table_rolling(spark, d):
+    """Rolling deployments of some days from a raw table partitioned by day and bucketed by team."""
+    path = scratch_path(spark, "raw_table")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    save_raw_table(_src(spark, d).delivery, DELIVERY_EVENTS, name, path, buckets=8, pieces=1)
+    stg = staging.stage_delivery_events(read_raw_table(spark, name, DELIVERY_EVENTS, since="2024-01-10"))
+    return rollups.with_dora_rolling(rollups.dora_daily(stg)).select(
+        "date_day", "team", "deployment_count", "deployments_last_7d", "ci_failure_rate_7d_avg")
+
+
+def _written_mart(spark, d):
+    """The mart as ``materialize`` writes it, partitioned by day."""
+    models = {"platform_health_daily": _mart(spark, d)}
+    return materialize(spark, models, root=scratch_path(spark, "warehouse"), tables=("platform_health_daily",))["platform_health_daily"]
+
+
+def _named_tables(spark, d):
+    """The dimension written for development and for production, read back from the folders that the naming gives."""
+    models = {"dim_teams": facts.dim_teams(_stg_ml(spark, d), _src(spark, d).catalog)}
+    root, out = scratch_path(spark, "warehouse"), None
+    for target, folder in (("dev", "analytics_dev_marts"), ("prod", "marts")):
+        materialize(spark, models, target, f"analytics_{target}", root, ("dim_teams",))
+        part = spark.read.parquet(f"{root}/{folder}/dim_teams").withColumn("target", F.lit(target))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _gap_filled_by_team(spark, d):
+    """Incidents and scores by team and week, every team over the weeks of the data."""
+    weekly = semantic.metric_query(_mart(spark, d), ["incidents", "platform_health_score"], ["metric_time", "team"], "week")
+    return semantic.gap_filled_by(weekly, ["team"], "week", fill={"incidents": 0})
 
 
 def _fixed_spine(spark, d):
@@ -229,7 +261,18 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sql_over_views": _sql_over_views,
     "pipeline_tests": lambda s, d: _built(s, d)["tests"],
     "mart_table_today": lambda s, d: reports.health_today(_built(s, d)["platform_health_daily"]),
-    "report_worst_first": _worst_first,
+    "report_worst_first": lambda s, d: reports.worst_first(_mart(s, d)),
+    # report orders as places
+    "dash_health_trend_places": lambda s, d: reports.health_trend_places(_mart(s, d)),
+    "dash_psi_places": lambda s, d: reports.psi_places(facts.fct_ml_runs(_stg_ml(s, d)), AS_OF_DATE),
+    # a catalog that users edit, tables by target, raw and mart tables read by day, gaps filled per team
+    "dim_teams_from_table": _dim_from_table,
+    "dim_teams_by_target": _named_tables,
+    "raw_table_rolling": _raw_table_rolling,
+    "mart_table_latest_day": lambda s, d: reports.latest_day(_written_mart(s, d)),
+    "metric_gap_filled_by_team": _gap_filled_by_team,
+    "metric_gap_filled_own_days": lambda s, d: semantic.gap_filled_by(
+        semantic.metric_query(_mart(s, d), ["deployment_frequency"], ["metric_time", "team"]), ["team"], bounds="group"),
     "report_team_alerts": lambda s, d: reports.team_alerts(_mart(s, d)),
     # the bounds check on scores of which some are out of bounds
     "dq_bounds_violated": lambda s, d: quality.health_score_bounds(

@@ -1,8 +1,7 @@
 """Data-quality checks. Each returns its violations as a DataFrame: no rows = pass.
 
-Checks on the same table are folded into one aggregate pass (``count_if``
-per column); only uniqueness needs a shuffle, and that one aggregates
-map-side first.
+The declared tests of a table share one pass over it, and all uniqueness tests
+of all tables one shuffle (:func:`run_tests`).
 """
 
 from __future__ import annotations
@@ -132,41 +131,49 @@ class ColumnTest:
         return f"{self.test}_{self.model}_{self.column}"
 
 
-def _failures_in_one_pass(df: DataFrame, tests: Sequence[ColumnTest]) -> list[Column]:
-    out = []
-    for t in tests:
+def _findings(df: DataFrame, tests: Sequence[tuple[int, ColumnTest]]) -> DataFrame:
+    """One pass over a table: (id, value) for every value that a unique test must compare, (id, NULL) for every other failure."""
+    found = []
+    for number, t in tests:
         c = F.col(t.column)
-        if t.test == "not_null":
-            pred = c.isNull()
+        if t.test == "unique":
+            wanted, value = c.isNotNull(), c.cast("string")
+        elif t.test == "not_null":
+            wanted, value = c.isNull(), F.lit(None).cast("string")
         elif t.test == "accepted_values":
-            pred = c.isNotNull() & ~c.isin(*t.values)
+            wanted, value = c.isNotNull() & ~c.isin(*t.values), F.lit(None).cast("string")
         else:
             raise ValueError(t.test)
-        out.append(F.struct(F.lit(t.name).alias("test_name"), F.lit(t.model).alias("model"),
-                            F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test"),
-                            F.count_if(pred).alias("failures")))
-    return out
+        found.append(F.when(wanted, F.struct(F.lit(number).alias("id"), value.alias("value"))))
+    return df.select(F.explode(F.array_compact(F.array(*found))).alias("f")).select("f.*")
 
 
 def run_tests(tables: dict[str, DataFrame], tests: Sequence[ColumnTest]) -> DataFrame:
     """Every test's failure count (rows for not_null / accepted_values,
-    duplicated values for unique), one row per test."""
-    parts = []
+    duplicated values for unique), one row per test.
+
+    Each table is read once, whatever the number of its tests. The values to
+    compare of all tables share one shuffle, by test and value; rows that fail
+    another test are counted in the same aggregate, combined before the shuffle.
+    """
+    asked = [(i, t) for i, t in enumerate(t for t in tests if t.model in tables)]
+    if not asked:
+        raise ValueError("no test for these tables")
+    spark = next(iter(tables.values())).sparkSession
+    findings = None
     for model, df in tables.items():
-        mine = [t for t in tests if t.model == model]
-        pass_tests = [t for t in mine if t.test != "unique"]
-        if pass_tests:
-            parts.append(df.agg(F.array(*_failures_in_one_pass(df, pass_tests)).alias("r"))
-                         .select(F.explode("r").alias("r")).select("r.*"))
-        for t in (t for t in mine if t.test == "unique"):
-            dup = unique(df, t.column).agg(F.count(F.lit(1)).alias("failures"))
-            parts.append(dup.select(F.lit(t.name).alias("test_name"), F.lit(t.model).alias("model"),
-                                    F.lit(t.column).alias("column_name"), F.lit(t.test).alias("test"),
-                                    "failures"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        mine = [(i, t) for i, t in asked if t.model == model]
+        if mine:
+            part = _findings(df, mine)
+            findings = part if findings is None else findings.unionByName(part)
+    unique = [i for i, t in asked if t.test == "unique"]
+    counted = findings.groupBy("id", "value").agg(F.count(F.lit(1)).alias("n"))
+    failures = F.sum(F.when(~F.col("id").isin(*unique), F.col("n")).when(F.col("n") > 1, 1).otherwise(0))
+    totals = counted.groupBy("id").agg(failures.alias("found"))
+    names = spark.createDataFrame([(i, t.name, t.model, t.column, t.test) for i, t in asked],
+                                  "id int, test_name string, model string, column_name string, test string")
+    return names.join(totals, "id", "left").select("test_name", "model", "column_name", "test",
+                                                   F.coalesce("found", F.lit(0)).cast("bigint").alias("failures"))
 
 
 def declared_tests(teams: Sequence[str], models: Sequence[str], delivery_types: Sequence[str],

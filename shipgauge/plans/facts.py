@@ -14,11 +14,7 @@ from shipgauge.operators.segmented import pair_next, sequence_number
 
 def dim_teams(stg_ml: DataFrame, catalog=DEFAULT_CATALOG) -> DataFrame:
     """Distinct (team, model_name) with the team's domain and SLA tier."""
-    pairs = stg_ml.select("team", "model_name").distinct()
-    team = F.col("team")
-    return pairs.select("team", "model_name",
-                        catalog.domain(team).alias("domain"),
-                        catalog.sla_tier(team).alias("sla_tier"))
+    return catalog.attach(stg_ml.select("team", "model_name").distinct())
 
 
 def team_dimension(stg_ml: DataFrame, catalog=DEFAULT_CATALOG) -> DataFrame:
@@ -28,10 +24,7 @@ def team_dimension(stg_ml: DataFrame, catalog=DEFAULT_CATALOG) -> DataFrame:
     repeat every fact once per model. Domain and tier depend on the team
     only, so dropping the model keeps every value.
     """
-    team = F.col("team")
-    return (stg_ml.select("team").distinct()
-            .select("team", catalog.domain(team).alias("domain"),
-                    catalog.sla_tier(team).alias("sla_tier")))
+    return catalog.attach(stg_ml.select("team").distinct())
 
 
 def fct_deployments(stg: DataFrame, stg_ml: DataFrame, catalog=DEFAULT_CATALOG,

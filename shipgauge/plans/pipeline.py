@@ -61,27 +61,35 @@ LAYERS = {
 }
 
 
-def build(src: Sources, cfg: PipelineConfig = DEFAULT) -> dict[str, DataFrame]:
-    """Every model of the pipeline, lazily."""
+def build_facts(src: Sources, cfg: PipelineConfig = DEFAULT) -> dict[str, DataFrame]:
+    """Staging, the dimension and the event-grain facts, lazily: what the declared tests read."""
     require_utc(src.delivery.sparkSession)
     stg = stage_delivery_events(src.delivery)
     stg_ml = stage_ml_events(src.ml, cfg)
+    return {
+        "stg_delivery_events": stg,
+        "stg_ml_events": stg_ml,
+        "dim_teams": dim_teams(stg_ml, src.catalog),
+        "fct_deployments": fct_deployments(stg, stg_ml, src.catalog, cfg),
+        "fct_incidents": fct_incidents(stg, cfg),
+        "fct_ml_runs": fct_ml_runs(stg_ml, cfg),
+    }
+
+
+def build(src: Sources, cfg: PipelineConfig = DEFAULT) -> dict[str, DataFrame]:
+    """Every model of the pipeline, lazily."""
+    facts = build_facts(src, cfg)
+    stg, stg_ml, incidents = facts["stg_delivery_events"], facts["stg_ml_events"], facts["fct_incidents"]
     dora = with_dora_rolling(dora_daily(stg, cfg), cfg)
     ml = with_ml_rolling(ml_delivery_daily(stg_ml), cfg)
-    incidents = fct_incidents(stg, cfg)
     responses = retrain_response(stg_ml, cfg)
     joined = platform_health_joined(dora, ml_team_daily(ml), incidents_daily(incidents, cfg),
                                     retrain_response_daily(responses))
     return {
-        "stg_delivery_events": stg,
-        "stg_ml_events": stg_ml,
+        **facts,
         "dora_daily": dora,
         "ml_delivery_daily": ml,
         "retrain_response": responses,
-        "dim_teams": dim_teams(stg_ml, src.catalog),
-        "fct_deployments": fct_deployments(stg, stg_ml, src.catalog, cfg),
-        "fct_incidents": incidents,
-        "fct_ml_runs": fct_ml_runs(stg_ml, cfg),
         "platform_health_daily": with_composite(health_scores(joined, cfg), cfg),
     }
 

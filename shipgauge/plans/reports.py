@@ -13,6 +13,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shipgauge.operators.ranking import with_place
+
 _BY_DAY_TEAM = ("date_day", "team")
 
 
@@ -103,6 +105,22 @@ def health_report(mart: DataFrame) -> DataFrame:
             .orderBy(F.asc("health_score")))
 
 
+def worst_first(mart: DataFrame) -> DataFrame:
+    """The alert report's teams with their place: worst score first, no score before all, teams of one score by name."""
+    return with_place(health_report(mart), [F.asc("health_score"), F.asc("team")]).select("place", "team", "health_score")
+
+
+def health_trend_places(mart: DataFrame) -> DataFrame:
+    """The trend's rows with their place by day and team."""
+    return with_place(health_trend(mart), [F.asc(c) for c in _BY_DAY_TEAM])
+
+
+def psi_places(ml_runs: DataFrame, as_of: str | dt.date, days: int = 30) -> DataFrame:
+    """The PSI distribution with places, highest mean PSI first, equal ones by team, model and severity."""
+    return with_place(psi_distribution(ml_runs, as_of, days),
+                      [F.desc("avg_psi"), F.asc("team"), F.asc("model_name"), F.asc("psi_severity")])
+
+
 def team_alerts(mart: DataFrame) -> DataFrame:
     """Every team of the latest day with tier and score, and whether it raises the alert."""
     return _on_latest_day(mart).select("team", "health_tier", "health_score",

@@ -124,6 +124,39 @@ def data_spine(mart: DataFrame) -> DataFrame:
     return spine_between(mart.agg(F.min(TIME_DIMENSION).alias("start"), F.max(TIME_DIMENSION).alias("end")))
 
 
+def gap_filled_by(metrics: DataFrame, dimensions: Sequence[str], grain: str = "day", bounds: str = "data",
+                  fill: dict | None = None) -> DataFrame:
+    """Every group of ``dimensions`` with a row for every ``grain`` of time.
+
+    ``metrics`` is grouped by ``metric_time__<grain>`` and ``dimensions``. With
+    ``bounds="group"`` a group's spine runs from its own first to its last time,
+    with ``"data"`` from the first to the last of all groups. A spine is made
+    from its two ends, so a group costs two values before it is unfolded, in
+    whatever task it falls. Missing rows have NULL metrics, or ``fill`` values;
+    a NULL dimension is a group; rows without a time are left out. No rows give
+    no rows.
+    """
+    if bounds not in ("group", "data"):
+        raise ValueError("bounds is 'group' or 'data'")
+    if grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
+    time, dims = f"metric_time__{grain}", list(dimensions)
+    known = metrics.where(F.col(time).isNotNull()).withColumn("_group", F.struct(F.lit(0).alias("_"), *dims))
+    ends = [F.min(time).alias("_from"), F.max(time).alias("_to")]
+    groups = known.groupBy("_group").agg(*ends)
+    if bounds == "data":
+        first, last = (known.select(f(time)).scalar() for f in (F.min, F.max))
+        groups = groups.select("_group", first.alias("_from"), last.alias("_to"))
+    step = F.expr({"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month",
+                   "quarter": "interval 3 months", "year": "interval 1 year"}[grain])
+    spine = groups.select("_group", F.explode(F.sequence("_from", "_to", step)).alias(time))
+    # a struct of dimensions is never NULL itself, so NULL dimensions meet in an ordinary equi-join
+    values = known.drop(*dims)
+    out = spine.join(values, ["_group", time], "left").select(
+        time, *[F.col("_group")[d].alias(d) for d in dims], *[c for c in values.columns if c not in ("_group", time)])
+    return out.fillna(fill) if fill else out
+
+
 def gap_filled(metric_by_day: DataFrame, spine: DataFrame, fill: dict | None = None) -> DataFrame:
     """Every spine day with its metric values; days without data get NULL,
     or ``fill`` values. ``metric_by_day`` must be grouped by
