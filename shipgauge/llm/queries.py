@@ -121,5 +121,40 @@ QUERIES = {
     "op13_codes": op13_codes,
 }
 
-# Queries that SQL can express.
-ORACLE_SQL: dict[str, str] = {}
+# Queries that SQL can express, as DuckDB statements.
+_REPEATS = r"""
+with split as (select doc_id, regexp_extract_all(ifnull(text, ''), '[^\x20\x09-\x0D]+') as words from documents),
+spots as (select doc_id, words, unnest(range(1, len(words) - 11)) as spot from split),
+passages as (select doc_id, spot, array_to_string(words[spot:spot + 12], ' ') as passage from spots),
+later as (select doc_id, spot from passages qualify min(doc_id) over (partition by passage) < doc_id),
+gone as (select distinct doc_id, spot + step as spot from later, range(0, 13) steps(step)),
+each as (select doc_id, unnest(words) as word, generate_subscripts(words, 1) as spot from split),
+told as (select e.doc_id, e.word, e.spot, g.spot is not null as lost from each e left join gone g using (doc_id, spot))
+select s.doc_id, len(s.words) as n_words, count(*) filter (t.lost) as n_removed,
+       sha256(ifnull(string_agg(t.word, ' ' order by t.spot) filter (not t.lost), '')) as kept_sha256
+from split s left join told t using (doc_id) group by all"""
+
+
+def _codes_sql() -> str:
+    """The rounds written out one after the other."""
+    steps = ["""whole as (select vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::double)::bigint) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0)""",
+             "parts as (select vec_id, label, part, v[part * 8 + 1:part * 8 + 8] as v from whole, range(0, 8) parts(part))",
+             "book0 as (select part, row_number() over (partition by part order by vec_id) - 1 as entry, v as c from parts qualify entry < 16)"]
+    apart = "list_sum(list_transform(list_zip(p.v, b.c), lambda x: (x[1] - x[2]) * (x[1] - x[2])))::bigint"
+    for r in range(codes.ROUNDS + 1):
+        steps.append(f"""near{r} as (select vec_id, part, any_value(p.label) as label, any_value(p.v) as v, min({{'apart': {apart}, 'entry': entry}}) as best
+    from parts p join book{r} b using (part) group by vec_id, part)""")
+        if r < codes.ROUNDS:
+            means = ", ".join(f"((sum(v[{i}]) - ((sum(v[{i}]) % count(*)) + count(*)) % count(*)) // count(*))::bigint" for i in range(1, 9))
+            steps.append(f"""book{r + 1} as (select b.part, b.entry, ifnull(m.c, b.c) as c from book{r} b
+    left join (select part, best.entry as entry, [{means}] as c from near{r} group by all) m using (part, entry))""")
+    last = codes.ROUNDS
+    steps.append(f"digest as (select sha256(string_agg(array_to_string(c, ','), ',' order by part, entry)) as d from book{last})")
+    steps.append(f"""coded as (select vec_id, any_value(label) as label, string_agg(printf('%02x', best.entry), '' order by part) as code,
+    sum(best.apart)::bigint as error from near{last} group by vec_id)""")
+    return "with " + ",\n".join(steps) + """
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, d as codebooks_sha256 from coded, digest"""
+
+
+ORACLE_SQL: dict[str, str] = {"op12_repeats": _REPEATS, "op13_codes": _codes_sql()}
