@@ -112,6 +112,15 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the table that ``written`` returned as ``df``; nothing may read it any more."""
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    for folder in folders:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a table in the shared folder and read it back.
 

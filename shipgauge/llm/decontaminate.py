@@ -9,14 +9,18 @@ bit-parallel algorithm on integers as wide as the item.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns
+from .common import add_columns, discard, kept_in_worker, unused, written
 
 CHARS_PER_ERROR = 20
 BLOCK_CHARS = 8_000_000  # characters of test items that one pass over the texts looks for
+KNOWN_CHARS = 4_000_000  # characters of windows whose distances a worker remembers
 
 
 def normalised(text: str | None) -> str:
@@ -33,7 +37,7 @@ def pieces(item: str, budget: int) -> list[tuple[str, int]]:
 class Item:
     """A test item prepared for Myers' algorithm."""
 
-    def __init__(self, item_id: int, text: str):
+    def __init__(self, item_id, text: str):
         self.id, self.text, self.budget = item_id, text, len(text) // CHARS_PER_ERROR
         self.ones, self.top = (1 << len(text)) - 1, 1 << max(len(text) - 1, 0)
         self.equal: dict[str, int] = {}
@@ -61,7 +65,7 @@ class Item:
 
 
 class Matcher:
-    def __init__(self, items: list[tuple[int, str]]):
+    def __init__(self, items: list[tuple]):
         import ahocorasick
 
         found: dict[str, list] = {}
@@ -75,6 +79,17 @@ class Matcher:
             self.automaton.make_automaton()
         self.some = bool(found)
         self.known: dict[tuple, tuple[int, int]] = {}  # windows recur where documents copy each other
+        self.known_chars = 0
+
+    def nearest(self, item: Item, window: str) -> tuple[int, int]:
+        key = (id(item), window)
+        if key not in self.known:
+            if self.known_chars + len(window) > KNOWN_CHARS:
+                self.known.clear()
+                self.known_chars = 0
+            self.known[key] = item.nearest(window)
+            self.known_chars += len(window)
+        return self.known[key]
 
     def matches(self, text: str | None) -> list[tuple[int, int, int]]:
         """(item id, least distance, end in the normalised text of its first such occurrence), by item id."""
@@ -90,12 +105,7 @@ class Matcher:
                 tried.add((id(item), start))
                 begin = max(0, start - item.budget)
                 window = text[begin:start + len(item.text) + item.budget]
-                key = (id(item), window)
-                if key not in self.known:
-                    if len(self.known) > 20_000:
-                        self.known.clear()
-                    self.known[key] = item.nearest(window)
-                distance, stop = self.known[key]
+                distance, stop = self.nearest(item, window)
                 if distance <= item.budget:
                     hit = (distance, begin + stop)
                     best[item.id] = min(best.get(item.id, hit), hit)
@@ -106,35 +116,61 @@ HITS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.Struc
                                  T.StructField("end", T.LongType())]))
 
 
+def _blocks(items: DataFrame) -> Iterator[list[tuple[list, str]]]:
+    """(item ids, text) of the distinct texts in ``items``, in runs of at most ``BLOCK_CHARS`` characters (an id counts as 8) or one text.
+
+    Rows come to the driver one partition at a time; one run is held.
+    """
+    block, chars = [], 0
+    for row in items.toLocalIterator():
+        size = len(row["body"]) + 8 * len(row["ids"])
+        if block and chars + size > BLOCK_CHARS:
+            yield block
+            block, chars = [], 0
+        block.append(([i["id"] for i in row["ids"]], row["body"]))
+        chars += size
+    if block:
+        yield block
+
+
 def find_items(docs: DataFrame, benchmark: DataFrame, text: str = "text", item: str = "item_id",
                item_text: str = "text", keep: list[str] | None = None, name: str = "hits") -> DataFrame:
     """Append ``name``: the test items that each whole text contains, with their least edit distance.
 
-    ``benchmark`` is the stated query set. It is cut into blocks of
-    ``BLOCK_CHARS`` characters; each block is one pass whose hits join those
-    before. Null and empty items match nothing, items with equal texts all
-    match, null and empty texts contain nothing; the order of hits is by item id.
+    ``benchmark`` is the stated query set. Its distinct texts are cut into blocks
+    of ``BLOCK_CHARS`` characters; each block is one pass over the texts, written
+    before the next begins, so a task holds one block's automaton whatever the
+    number of blocks. Null and empty items match nothing, items with equal texts
+    all match, null and empty texts contain nothing; hits are ordered by item id.
     """
-    items = benchmark.select(F.col(item).cast("long").alias("item"), F.col(item_text).alias("body")).filter(
-        F.length(F.trim("body")) > 0)
-    chars = items.agg(F.sum(F.length("body"))).head()[0] or 0
-    blocks = 1 + chars // BLOCK_CHARS
+    given = benchmark.select(F.col(item).cast("long").alias("id"), F.col(item_text).alias("body")).filter(F.length(F.trim("body")) > 0)
+    # written, so that every block comes from the same rows in the same order
+    items = written(given.groupBy("body").agg(F.collect_list(F.struct("id")).alias("ids")).select("body", "ids"), "benchmark-texts")
     kept = [c for c in (docs.columns if keep is None else keep) if c != name]
-    out = docs.select(*dict.fromkeys([*kept, text]), F.array().cast(HITS).alias(name))
-    for b in range(blocks):
-        block = [(r["item"], r["body"]) for r in items.filter(F.pmod(F.xxhash64("body"), F.lit(blocks)) == b).collect()]
-        if not block and b < blocks - 1:
-            continue
-
-        def make(block=block):
-            matcher = Matcher(block)
-
-            def work(texts, before):
-                new = [[*(h or []), *({"item_id": i, "distance": d, "end": e} for i, d, e in matcher.matches(t))]
-                       for t, h in zip(texts, before, strict=True)]
-                return [new if blocks == 1 else [sorted(h, key=lambda x: (x["item_id"] is None, x["item_id"] or 0)) for h in new]]
-            return work
-
-        out = add_columns(out, [text, name], [T.StructField(name, HITS)], make,
-                          kept if b == blocks - 1 else out.columns)
-    return out
+    rows = docs.select(*dict.fromkeys([*kept, text]))
+    found = unused("_found", rows)
+    out, before = rows.withColumn(found, F.array().cast(HITS)), None
+    for number, block in enumerate(_blocks(items)):
+        if number:
+            out = written(out, "passes")
+            if before is not None:
+                discard(before)
+            before = out
+        parts = [repr(ids) + body for ids, body in block]
+        digest = hashlib.sha256("\0".join(parts).encode("utf-8", "surrogatepass")).hexdigest()
+
+        def make(block=block, digest=digest):
+            held = kept_in_worker("decontaminate", dict)  # the last block's automaton only
+            if digest not in held:
+                held.clear()
+                held[digest] = Matcher([(i, body) for i, (_, body) in enumerate(block)])
+            matcher = held[digest]
+
+            def hits(text, earlier):
+                new = [{"item_id": i, "distance": d, "end": e} for place, d, e in matcher.matches(text) for i in block[place][0]]
+                return sorted([*(earlier or []), *new], key=lambda x: (x["item_id"] is None, x["item_id"] or 0))
+
+            return lambda texts, earlier: [[hits(t, h) for t, h in zip(texts, earlier, strict=True)]]
+
+        out = add_columns(out, [text, found], [T.StructField(found, HITS)], make)
+    return out.select(*kept, F.col(found).alias(name))

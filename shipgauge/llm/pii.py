@@ -28,10 +28,10 @@ import hashlib
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import unused, written
 
 ROUNDS = 2
-MOVES = 4  # permutations tried for an entity whose first surrogate is an entity of the corpus
+STALLED = 12  # further permutations in a row that give no entity a free surrogate, after which its format counts as full
 
 # The alphabets characters move in.
 ALPHABETS = ("0123456789", "aeiou", "bcdfghjklmnpqrstvwxyz", "AEIOU", "BCDFGHJKLMNPQRSTVWXYZ",
@@ -188,60 +188,71 @@ def entities(text: Column) -> Column:
 
 
 def colliding(docs: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """Entities whose surrogate is an entity of the corpus, with another one: (entity, surrogate).
-
-    Another permutation is tried, up to ``MOVES`` times, until its surrogate is
-    neither an entity nor taken. One permutation never gives two entities of a
-    format the same, so each round needs only those two checks. What no round
-    settles keeps its first surrogate: an entity of the corpus, which no
-    settled one is, so that all surrogates still differ.
+    """Entities whose first surrogate can't stay, with another one: (entity, surrogate).
+
+    It can't stay if it is an entity of the corpus, or if a smaller entity has
+    the same: permutations of one alphabet never meet, but those of a listed and
+    an unlisted name may. Such entities get further permutations until their
+    surrogate is no entity, taken by no other, and theirs alone among those
+    tried together. After ``STALLED`` permutations in a row that settle none,
+    the formats of what is left count as full, and each keeps its first surrogate.
     """
     each = docs.select(F.explode(F.array_distinct(entities(F.col(text)))).alias("entity")).distinct()
     each = each.select("entity", kind_of(F.col("entity")).alias("kind"))
     known = written(each.withColumn("surrogate", surrogate(F.col("entity"), F.col("kind"), key)), "entities")
     found = known.select(F.col("entity").alias("surrogate"))
-    taken = known.select("surrogate").join(found, "surrogate", "left_anti")
-    left = written(known.join(found, "surrogate", "left_semi").select("entity", "kind", "surrogate"), "colliding")
-    settled = None
-    for k in range(1, MOVES + 1):
-        if left.isEmpty():
-            break
-        tried = written(left.withColumn("other", surrogate(F.col("entity"), F.col("kind"), f"{key}#{k}")), "tried")
-        free = (tried.select("entity", F.col("other").alias("surrogate")).join(found, "surrogate", "left_anti")
-                .join(taken, "surrogate", "left_anti").select("entity", "surrogate"))
-        free = written(free, "free")
-        taken = taken.unionByName(free.select("surrogate"))
-        settled = free if settled is None else settled.unionByName(free)
-        left = written(tried.join(free, "entity", "left_anti").select("entity", "kind", "surrogate"), "colliding")
-    return left.select("entity", "surrogate") if settled is None else settled
+
+    def free(tried: DataFrame) -> DataFrame:
+        """One entity of each surrogate that is no entity."""
+        own = tried.groupBy("surrogate").agg(F.min(F.struct("entity", "kind")).alias("own"))
+        return own.join(found, "surrogate", "left_anti").select("own.*", "surrogate")
+
+    stays = written(free(known), "first-surrogates")
+    taken = stays.select("surrogate")
+    first = left = written(known.join(stays.select("entity"), "entity", "left_anti").select("entity", "kind", "surrogate"), "colliding")
+    settled, k, stalled = None, 0, 0
+    while stalled < STALLED and not left.isEmpty():
+        k += 1
+        tried = left.select("entity", "kind", surrogate(F.col("entity"), F.col("kind"), f"{key}#{k}").alias("surrogate"))
+        new = written(free(tried).join(taken, "surrogate", "left_anti").select("entity", "surrogate"), "settled")
+        if new.isEmpty():
+            stalled += 1
+            continue
+        stalled = 0
+        taken = taken.unionByName(new.select("surrogate"))
+        settled = new if settled is None else settled.unionByName(new)
+        left = written(left.join(new, "entity", "left_anti").select("entity", "kind", "surrogate"), "colliding")
+    return first.limit(0).select("entity", "surrogate") if settled is None else settled
 
 
 def replace_entities(docs: DataFrame, key: str, text: str = "text", count: str = "entities") -> DataFrame:
     """``docs`` with every entity of ``text`` replaced, and ``count``: how many were.
 
     The same entity has the same surrogate in all documents, different ones
-    have different surrogates, and no surrogate is an entity of the corpus
-    unless all of a format's strings in reach are. A null text stays null with
+    have different surrogates, and no surrogate is an entity of the corpus,
+    unless a format is full (``colliding``). A null text stays null with
     0 entities, an empty one empty; repeated rows are replaced alike.
     """
     docs = docs.drop(count)
+    spots, body, other, whole = (unused(n, docs) for n in ("_spots", "_text", "_moved", "_whole"))
     moved = written(colliding(docs, key, text), "moved")
     spot = F.transform(F.transform(entities(F.col(text)), lambda e: F.struct(e.alias("entity"), kind_of(e).alias("kind"))),
                        lambda s: F.struct(s["entity"].alias("entity"), surrogate(s["entity"], s["kind"], key).alias("new")))
     if moved.isEmpty():
-        found = docs.withColumn("_spots", spot)
-        new = F.transform("_spots", lambda s: s["new"])
+        found = docs.withColumn(spots, spot)
+        new = F.transform(spots, lambda s: s["new"])
     else:
         # one map for each distinct text that has such an entity, joined to its rows
-        hashed = docs.withColumn("_text", F.sha2(text, 256))
-        few = (hashed.select("_text", F.explode(F.array_distinct(entities(F.col(text)))).alias("entity"))
+        hashed = docs.withColumn(body, F.sha2(text, 256))
+        few = (hashed.select(F.col(body).alias("body"), F.explode(F.array_distinct(entities(F.col(text)))).alias("entity"))
                .join(moved, "entity").distinct()
-               .groupBy("_text").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias("_moved")))
+               .groupBy("body").agg(F.map_from_entries(F.collect_list(F.struct("entity", "surrogate"))).alias(other))
+               .withColumnRenamed("body", body))
         few = written(few, "moved-texts")
-        found = hashed.join(few, "_text", "left").withColumn("_spots", spot)
-        new = F.transform("_spots", lambda s: F.coalesce(F.col("_moved")[s["entity"]], s["new"]))
+        found = hashed.join(few, body, "left").withColumn(spots, spot)
+        new = F.transform(spots, lambda s: F.coalesce(F.col(other)[s["entity"]], s["new"]))
     between = F.split(F.col(text), FIND, -1)
-    whole = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = found.withColumn("_whole", F.when(F.size("_spots") > 0, whole).otherwise(F.col(text)))
-    kept = [F.col("_whole").alias(text) if c == text else F.col(c) for c in docs.columns]
-    return out.select(*kept, F.greatest(F.size("_spots"), F.lit(0)).alias(count))
+    replaced = F.array_join(F.zip_with(between, new, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    out = found.withColumn(whole, F.when(F.size(spots) > 0, replaced).otherwise(F.col(text)))
+    kept = [F.col(whole).alias(text) if c == text else F.col(c) for c in docs.columns]
+    return out.select(*kept, F.greatest(F.size(spots), F.lit(0)).alias(count))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import add_columns, written
+from .common import add_columns, unused, written
 from .components import components
 
 SHINGLE = 3
@@ -176,14 +176,16 @@ def near_duplicates(prints: DataFrame, key: str = "doc_id", radius: int = RADIUS
     component of null keys only has a null id. No rows give no rows.
     """
     value = F.conv("fingerprint", 16, -10).cast("long")
-    rows = prints.drop("component_id", "component_print").withColumn("_print", value)
-    firsts = written(rows.groupBy(F.col("_print").alias("print")).agg(F.min(key).alias("first")), "prints")
+    rows = prints.drop("component_id", "component_print")
+    own = unused("_print", rows)
+    rows = rows.withColumn(own, value)
+    firsts = written(rows.groupBy(F.col(own).alias("print")).agg(F.min(key).alias("first")), "prints")
     roots = components(written(tile_links(firsts, radius), "tile-links"))
     rooted = (firsts.join(roots.withColumnRenamed("node", "print"), "print", "left")
               .select("print", "first", F.coalesce("root", "print").alias("root")))
     least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(least, "root").select(F.col("print").alias("_print"), "component_id", F.col("root").alias("component_print"))
-    return rows.join(named, "_print").drop("_print")
+    named = rooted.join(least, "root").select(F.col("print").alias(own), "component_id", F.col("root").alias("component_print"))
+    return rows.join(named, own).drop(own)
 
 
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
@@ -193,11 +195,12 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle:
     one stays; a null key counts as larger than any other.
     """
     # a null key compares as the largest, and joins, under a number and a flag
-    ident = [F.col(key).isNull().alias("_none"), F.coalesce(F.col(key), F.lit(0)).alias("_key"), F.xxhash64(text).alias("_text")]
-    found = written(near_duplicates(written(fingerprints(docs.select(key, text, *ident), text, shingle,
-                                                         [key, "_none", "_key", "_text"]), "fingerprints"), key, radius), "groups")
-    best = found.groupBy("component_print").agg(F.min(F.struct("_none", "_key", "_text")).alias("best")).select("best.*")
-    kept = docs.select("*", *ident).join(best, ["_none", "_key", "_text"], "left_semi")
-    if not found.groupBy("_none", "_key", "_text").count().filter("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["_none", "_key", "_text"])
+    none, own, body = names = [unused(n, docs) for n in ("_none", "_key", "_text")]
+    ident = [F.col(key).isNull().alias(none), F.coalesce(F.col(key), F.lit(0)).alias(own), F.xxhash64(text).alias(body)]
+    found = written(near_duplicates(written(fingerprints(docs.select(key, text, *ident), text, shingle, [key, *names]), "fingerprints"),
+                                    key, radius), "groups")
+    best = found.groupBy("component_print").agg(F.min(F.struct(*names)).alias("best")).select("best.*")
+    kept = docs.select("*", *ident).join(best, names, "left_semi")
+    if not found.groupBy(*names).count().filter("count > 1").isEmpty():
+        kept = kept.dropDuplicates(names)
     return kept.select(*docs.columns)

@@ -63,6 +63,8 @@ def test_blocks_give_the_same(spark, monkeypatch):
     assert all({h.item_id for h in one[d] if h.distance == 0} == found for d, found in exact.items())
     assert sum(map(bool, exact.values())) > 10
     monkeypatch.setattr(decontaminate, "BLOCK_CHARS", 9000)
+    plan = find_items(docs, bench, keep=["doc_id"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1  # earlier blocks were written
     many = {r.doc_id: r.hits for r in find_items(docs, bench, keep=["doc_id"]).collect()}
     assert one == many
 

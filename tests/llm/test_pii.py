@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shipgauge.llm import pii
 from shipgauge.llm.pii import ALPHABETS, DIGITS, FEMALE, MALE, PLAIN, ROUNDS, colliding, replace_entities
+from shipgauge.llm.queries import PII_KEY
 
 KEY = "k"
 
@@ -104,6 +105,32 @@ def test_surrogates_that_are_entities_move_on(spark):
     assert not set(got[1:3]) & set(texts) and got[:3] == [found[x] for x in first]
 
 
+def test_listed_and_unlisted_names_never_share_a_surrogate(spark):
+    texts = ["Ms Zixa Smith", "Ms Mary Smith"]
+    first = [r[0] for r in spark.createDataFrame([(t,) for t in texts], "e string")
+             .select(pii.surrogate(F.col("e"), F.lit("name"), PII_KEY)).collect()]
+    assert first[0] == first[1]  # the first permutation doesn't keep these apart
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    new = [r.text for r in replace_entities(docs, PII_KEY).orderBy("doc_id").collect()]
+    assert new[0] != new[1] and not set(new) & set(texts)
+
+
+def test_all_words_of_a_listed_names_form_differ(spark):
+    texts = [f"Ms {a}{b}{c}a Smith" for a in "BCDFGHJKLMNPQRSTVWXYZ" for b in "aeiou" for c in "bcdfghjklmnpqrstvwxyz"]
+    texts += [f"Ms {n} Smith" for n in FEMALE]
+    new, _ = replaced(spark, texts)
+    assert len(set(new)) == len(set(texts)) and not set(new) & set(texts)
+
+
+def test_clashing_names_of_helpers(spark):
+    names = ("_spots", "_text", "_moved", "_whole", "_entities", "body", "entity")
+    schema = "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)
+    df = spark.createDataFrame([(1, "a@b.co", *"1234567"), (2, "10.1.2.3", *"1234567")], schema)
+    out = replace_entities(df, KEY)
+    assert out.columns == [*df.columns, "entities"]
+    assert all([r[n] for n in names] == list("1234567") and r.entities == 1 for r in out.collect())
+
+
 def test_closed_cycle_keeps_entities_apart(spark):
     texts = [f"{a}@{b}.co" for a in "aeiou" for b in "aeiou"]  # every string of the format: none is free
     got, _ = replaced(spark, texts)

@@ -4,10 +4,13 @@ import random
 import re
 
 import numpy as np
+import pytest
 import xxhash
 
+import shipgauge.llm.components as components_module
+from shipgauge.llm.common import written
 from shipgauge.llm.components import components
-from shipgauge.llm.simhash import _Block, fingerprint, fingerprints, near_duplicates, tile_links
+from shipgauge.llm.simhash import _Block, fingerprint, fingerprints, keep_one, near_duplicates, tile_links
 
 
 def brute_print(text):
@@ -138,6 +141,39 @@ def test_components_of_paths_cycles_and_stars(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+@pytest.mark.parametrize("order", ["sorted", "reversed", "random", "zigzag", "bits"])
+def test_components_of_a_long_path_take_few_steps(spark, monkeypatch, order):
+    n = 1600
+    names = {"sorted": list(range(n)), "reversed": list(range(n))[::-1], "random": random.Random(1).sample(range(n), n),
+             "zigzag": [i // 2 if i % 2 else n - 1 - i // 2 for i in range(n)],
+             "bits": sorted(range(n), key=lambda i: f"{i:011b}"[::-1])}[order]
+    steps = []
+    monkeypatch.setattr(components_module, "written", lambda df, name: steps.append(name) or written(df, name))
+    links = spark.createDataFrame(list(zip(names, names[1:])), "a long, b long")
+    got = components(links).collect()
+    assert sorted(r.node for r in got) == list(range(n)) and {r.root for r in got} == {0}
+    assert steps.count("links") - 1 < 12 and steps.count("hooked") < 40  # rounds, and steps of all rounds
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(12)
+    links = [(rng.randrange(3000), rng.randrange(3000)) for _ in range(1800)] + [(None, 4), (5, None)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    groups = _groups({(a, b) for a, b in links if a is not None and b is not None and a != b})
+    for group in groups:
+        assert {got[v] for v in group} == {group[0]}
+    assert all(got[a] == a for a, b in links if a == b and not any(a in g for g in groups))
+
+
+def test_clashing_names_of_helpers(spark):
+    names = ("_key", "_text", "_none", "_print", "component_print", "print", "root")
+    df = spark.createDataFrame([(1, "a b c d", *"1234567"), (2, "a b c d", *"1234567")], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = keep_one(df).collect()
+    assert kept == df.where("doc_id = 1").collect()
+    out = near_duplicates(fingerprints(df))
+    assert all(r[n] == str(i) for r in out.collect() for i, n in enumerate(names, start=1) if n != "component_print")
+
+
 def test_table_equals_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     got = {r.doc_id: r for r in near_duplicates(fingerprints(docs, keep=["doc_id"])).collect()}
