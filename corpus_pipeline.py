@@ -6,15 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shipgauge.llm import decontaminate, packing, pii, quality, simhash
-from shipgauge.llm.common import written
+from shipgauge.llm.common import unused, written
 from shipgauge.llm.queries import PII_KEY, tokenizer_path
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts. A null text is scored as an empty one."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    scored = quality.score_quality(docs, model, name="_quality")
-    return scored.filter(F.col("_quality") >= quality.THRESHOLD).select(*docs.columns)
+    name = unused("_quality", docs)
+    scored = quality.score_quality(docs, model, name=name)
+    return scored.filter(F.col(name) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,13 +25,14 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item."""
-    found = decontaminate.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name="_hits")
-    return found.filter(F.size("_hits") == 0).select(*docs.columns)
+    name = unused("_hits", docs)
+    found = decontaminate.find_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), name=name)
+    return found.filter(F.size(name) == 0).select(*docs.columns)
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, personal data replaced in their texts; ``n_chars`` follows the new text."""
-    new = pii.replace_entities(docs, PII_KEY, count="_entities")
+    new = pii.replace_entities(docs, PII_KEY, count=unused("_entities", docs))
     return new.select(*(F.length("text").cast(docs.schema[c].dataType).alias(c) if c == "n_chars" else F.col(c)
                         for c in docs.columns))
 
