@@ -16,7 +16,7 @@ the suffixes that share an anchor travel as one row of overlapping words.
    it, the other leaves are marked.
 4. Groups of more than ``GROUP`` rows take the whole window as prefix: the tree
    below is a single node, whose least document is an aggregate that Spark
-   combines before the shuffle and joins back with skewed keys split.
+   combines before the shuffle and joins back in salted pieces.
 5. Marks return to their documents; text is shuffled once for steps 2 and 5.
 """
 
@@ -36,6 +36,7 @@ WINDOW = 13
 ANCHOR = 5
 GROUP = 20_000   # rows of one anchor that a suffix tree takes
 BLOCK = 20_000   # rows whose suffix trees one step builds, besides a group
+SALTS = 32       # pieces of a window's rows in a large group
 SLICE = 1 << 20  # bytes of text whose words one step holds as numbers, besides a text
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # any odd 64-bit number
 OTHER = np.uint64(0xC2B2AE3D27D4EB4F)       # another one
@@ -287,10 +288,11 @@ def marks_of_trees(leaves: DataFrame, window: int, block: int) -> DataFrame:
 
 
 def marks_of_nodes(nodes: DataFrame) -> DataFrame:
-    """Marks of large groups, whose windows are nodes of their own: an aggregate, joined back."""
-    least = written(nodes.groupBy("high", "low").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least < most"),
-                    "large-groups")
-    found = nodes.join(least.hint("shuffle_hash"), ["high", "low"])
+    """Marks of large groups, whose windows are nodes of their own: an aggregate, joined back by window and salt."""
+    least = nodes.groupBy("high", "low").agg(F.min("key").alias("least"), F.max("key").alias("most")).filter("least < most")
+    spread = least.select("high", "low", "least", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    salted = nodes.withColumn("salt", F.pmod(F.xxhash64("row", "start"), F.lit(SALTS)).cast("int"))
+    found = salted.join(spread.hint("shuffle_hash"), ["high", "low", "salt"])
     return found.filter("key > least").select("key", "row", "start", F.lit(1).cast("long").alias("bits"))
 
 
