@@ -21,6 +21,9 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 SLICE_ROWS = 512
+REMEMBERED = 96 << 20  # bytes that one memory of words in a worker may take
+LONGEST = 64           # characters of a word that is remembered
+_SLOT = 120            # bytes of an entry besides its key and value
 
 
 def split_remainder(key: str, modulus: int) -> Column:
@@ -88,6 +91,25 @@ def unused(name: str, *frames: DataFrame) -> str:
     return name
 
 
+class Remembered(dict):
+    """``make(word)`` by word, remembered until about ``budget`` bytes are taken.
+
+    Words longer than ``LONGEST`` are worked out each time, so a 'word' of a
+    megabyte takes no room.
+    """
+
+    def __init__(self, make: Callable, budget: int | None = None):
+        super().__init__()
+        self.make, self.left = make, REMEMBERED if budget is None else budget
+
+    def __missing__(self, word):
+        found = self.make(word)
+        if self.left > 0 and len(word) <= LONGEST:
+            self.left -= sys.getsizeof(word) + sys.getsizeof(found) + _SLOT
+            self[word] = found
+        return found
+
+
 def kept_in_worker(name: str, make: Callable):
     """``make()``, kept under ``name`` in the worker process, which Spark reuses for later tasks."""
     kept = sys.modules.setdefault("shipgauge_worker", types.ModuleType("shipgauge_worker"))

@@ -8,7 +8,8 @@ label are the text's spans.
 
 from __future__ import annotations
 
-from collections import Counter
+import sys
+from collections import Counter, defaultdict
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,15 +17,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, split_remainder, summarise
+from .common import LONGEST, REMEMBERED, add_columns, split_remainder, summarise
 
 GRAM_ROWS = 1 << 15
 SWITCH = 8.0           # nats that changing the language between two words costs
 SHARE = 0.005          # of a language's letters a script must have for the language to be its candidate
-LANGUAGES = 500        # more distinct language names than this are refused
 UNKNOWN = "und"
-KNOWN_WORDS = 400_000
-TOGETHER = 4096        # texts labelled side by side
+DENSE = 32 << 20       # bytes up to which a task lays the model out as a full table
+WAITING = (400_000, 64_000_000)  # distinct words, and characters of texts, that are counted together
+TOGETHER = 16384       # texts times languages labelled side by side
 
 # First code points of script ranges; a range ends where the next begins.
 SCRIPTS = ("other", "latin", "greek", "cyrillic", "armenian", "hebrew", "arabic", "indic", "thai", "hangul", "kana", "han")
@@ -73,64 +74,89 @@ class Grams:
 
 @dataclass
 class LanguageModel:
-    """``grams``: log-probabilities (rows x languages); ``allowed``: (scripts x languages)."""
+    """What occurs of the table (rows of grams x languages) of log-probabilities, row by row.
+
+    Row r has the entries ``starts[r]`` to ``starts[r + 1]``: a number in
+    ``languages`` and by how much the gram is likelier there than one not seen,
+    which has ``unseen``. ``allowed``: (scripts x languages).
+    """
 
     languages: list[str]
-    grams: np.ndarray
+    starts: np.ndarray
+    numbers: np.ndarray
+    more: np.ndarray
+    unseen: np.ndarray
     allowed: np.ndarray
-    prior: np.ndarray
+
+    def table(self) -> np.ndarray:
+        out = np.tile(self.unseen, (GRAM_ROWS, 1))
+        out[np.repeat(np.arange(GRAM_ROWS), np.diff(self.starts)), self.numbers] += self.more
+        return out.astype(np.float32)
 
 
 def train(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "lang") -> LanguageModel:
     """Counts of grams and scripts by language, over every text that may be learnt from.
 
     Null languages and texts are left out. Spark adds up the counts; what comes
-    to the driver is at most ``GRAM_ROWS`` rows for each language, and more than
-    ``LANGUAGES`` languages raise an error before anything is gathered.
+    to the driver is a number for each pair of gram row and language that
+    occurs, so a mistyped language costs what its own texts hold, and any number
+    of languages can be learnt.
     """
     usable = docs.filter(learn_from & F.col(lang).isNotNull() & F.col(text).isNotNull())
-    languages = [r[0] for r in usable.select(lang).distinct().limit(LANGUAGES + 1).collect()]
-    if len(languages) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages to learn")
-    languages = sorted(languages)
-    number = {x: i for i, x in enumerate(languages)}
+    languages = sorted(r[0] for r in usable.select(lang).distinct().collect())
+    number, width = {x: i for i, x in enumerate(languages)}, GRAM_ROWS + len(SCRIPTS)
 
     def make():
-        total = np.zeros((len(languages), GRAM_ROWS + len(SCRIPTS)), np.int64)
-        waiting: dict[int, Counter] = {i: Counter() for i in range(len(languages))}
+        waiting: dict[int, Counter] = defaultdict(Counter)
+        spots, total, read = np.zeros(0, np.int64), np.zeros(0, np.int64), 0
 
         def flush():
+            nonlocal spots, total, read
+            new = []
             for i, chunks in waiting.items():
                 words = [(w, n) for w, n in ((letters_of(c), n) for c, n in chunks.items()) if w]
                 if words:
                     grams, times = Grams([w for w, _ in words]), np.array([n for _, n in words], np.int64)
+                    tally = np.zeros(width, np.int64)
                     for rows, starts in grams.parts:
                         each = np.repeat(times, np.diff([*starts, len(rows)]))
-                        total[i, :GRAM_ROWS] += np.bincount(rows, each, GRAM_ROWS).astype(np.int64)
-                    total[i, GRAM_ROWS:] += times @ grams.tally
-                chunks.clear()
+                        tally[:GRAM_ROWS] += np.bincount(rows, each, GRAM_ROWS).astype(np.int64)
+                    tally[GRAM_ROWS:] = times @ grams.tally
+                    some = np.flatnonzero(tally)
+                    new.append((some + i * width, tally[some]))
+            spots, where = np.unique(np.concatenate([spots, *(s for s, _ in new)]), return_inverse=True)
+            total = np.bincount(where, np.concatenate([total, *(n for _, n in new)]), len(spots)).astype(np.int64)
+            waiting.clear()
+            read = 0
 
         def add(texts, names):
+            nonlocal read
             for t, name in zip(texts, names, strict=True):
                 waiting[number[name]].update(t.split())
-            if sum(map(len, waiting.values())) > KNOWN_WORDS:
+                read += len(t)
+                if read > WAITING[1]:
+                    flush()
+            if sum(map(len, waiting.values())) > WAITING[0]:
                 flush()
 
         def finish():
             flush()
-            lang_at, row_at = np.nonzero(total)
-            yield [lang_at.tolist(), row_at.tolist(), total[lang_at, row_at].tolist()]
+            yield [spots // width, spots % width, total]
 
         return add, finish
 
     fields = [T.StructField("lang", T.IntegerType()), T.StructField("row", T.IntegerType()), T.StructField("n", T.LongType())]
-    counts = np.zeros((GRAM_ROWS + len(SCRIPTS), len(languages)))
-    for r in summarise(usable, [text, lang], fields, make).groupBy("lang", "row").agg(F.sum("n").alias("n")).collect():
-        counts[r["row"], r["lang"]] = r["n"]
-    grams, scripts = counts[:GRAM_ROWS] + 0.5, counts[GRAM_ROWS:]
-    letters = scripts.sum(axis=0)
-    allowed = scripts >= SHARE * np.maximum(letters, 1)
-    return LanguageModel(languages, np.log(grams / grams.sum(axis=0)), allowed, letters)
+    counts = summarise(usable, [text, lang], fields, make).groupBy("lang", "row").agg(F.sum("n").alias("n")).toArrow()
+    lang_at, row_at, n = (counts.column(c).to_numpy() for c in ("lang", "row", "n"))
+    gram = row_at < GRAM_ROWS
+    scripts = np.zeros((len(SCRIPTS), len(languages)))
+    scripts[row_at[~gram] - GRAM_ROWS, lang_at[~gram]] = n[~gram]
+    lang_at, row_at, n = lang_at[gram], row_at[gram], n[gram]
+    order = np.lexsort((lang_at, row_at))
+    starts = np.searchsorted(row_at[order], np.arange(GRAM_ROWS + 1))
+    whole = np.bincount(lang_at, n, len(languages)) + 0.5 * GRAM_ROWS  # every row counts half a time more
+    return LanguageModel(languages, starts, lang_at[order], np.log1p(2.0 * n[order]), np.log(0.5 / whole),
+                         scripts >= SHARE * np.maximum(scripts.sum(axis=0), 1))
 
 
 def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH) -> np.ndarray:
@@ -148,7 +174,7 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH) -> n
     steps, width = int(sizes[0]), scores.shape[1]
     active = np.searchsorted(-sizes, -np.arange(steps), side="left")  # texts longer than t
     best = np.zeros((len(sizes), width))
-    came = np.tile(np.arange(width, dtype=np.int16), (len(scores), 1))
+    came = np.tile(np.arange(width, dtype=np.int16 if width < 1 << 15 else np.int32), (len(scores), 1))
     for t in range(steps):
         n = active[t]
         at = starts[:n] + t
@@ -169,17 +195,33 @@ def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float = SWITCH) -> n
 
 
 class Labeller:
-    """Labels the words of texts, remembering the scores of words seen before."""
+    """Labels the words of texts, remembering the scores of words seen before, up to ``REMEMBERED`` bytes."""
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.grams = model.grams.astype(np.float32)
+        self.grams = model.table() if 4 * GRAM_ROWS * len(model.languages) <= DENSE else None
         self.forget()
 
     def forget(self) -> None:
         self.rows: dict[str, int] = {}
         self.scores = np.zeros((0, len(self.model.languages)), np.float32)
         self.letters = np.zeros(0, np.int64)
+        self.taken = 0
+
+    def sums(self, found: Grams) -> np.ndarray:
+        """Log-probabilities of all words in all languages: sums over their grams."""
+        if self.grams is not None:
+            return sum(np.add.reduceat(self.grams[rows], starts) for rows, starts in found.parts)
+        model, width = self.model, len(self.model.languages)
+        out = np.zeros((found.count, width))
+        for rows, starts in found.parts:
+            sizes = np.diff([*starts, len(rows)])
+            out += sizes[:, None] * model.unseen
+            begin, many = model.starts[rows], model.starts[rows + 1] - model.starts[rows]
+            entry = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+            word = np.repeat(np.repeat(np.arange(found.count), sizes), many)
+            out += np.bincount(word * width + model.numbers[entry], model.more[entry], out.size).reshape(out.shape)
+        return out
 
     def word_scores(self, words: list[str]) -> np.ndarray:
         """Sums of the grams' log-probabilities, less the best one, for the languages that use a word's script.
@@ -188,7 +230,7 @@ class Labeller:
         to use the script, the word speaks for none.
         """
         found = Grams(words)
-        score = sum(np.add.reduceat(self.grams[rows], starts) for rows, starts in found.parts)
+        score = self.sums(found)
         allowed = self.model.allowed[found.script]
         score = score - np.where(allowed, score, -np.inf).max(axis=1, keepdims=True, initial=-1e30)
         score = np.where(allowed, score, score.min(axis=1, keepdims=True) - SWITCH)
@@ -197,7 +239,7 @@ class Labeller:
     def label(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Letters of every word with any, how many such words each text has, and the words' labels."""
         chunks = [(t or "").split() for t in texts]
-        if len(self.rows) > KNOWN_WORDS:
+        if self.taken > REMEMBERED:
             self.forget()
         new = list({c for cs in chunks for c in cs}.difference(self.rows))
         if new:
@@ -206,10 +248,14 @@ class Labeller:
             score = np.zeros((len(new), self.scores.shape[1]), np.float32)
             if sizes.any():
                 score[sizes > 0] = self.word_scores([w for w in words if w])
-            self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new)), strict=True))
+            self.rows.update(zip(new, range(len(self.letters), len(self.letters) + len(new)), strict=True))
             self.scores, self.letters = np.concatenate([self.scores, score]), np.concatenate([self.letters, sizes])
         at = self.rows
         rows = np.array([at[c] for cs in chunks for c in cs], np.int64)
+        for c in new:
+            self.taken += 160 + 4 * self.scores.shape[1] + (sys.getsizeof(c) if len(c) <= LONGEST else 0)
+            if len(c) > LONGEST:
+                del at[c]
         text = np.repeat(np.arange(len(texts)), [len(c) for c in chunks])
         some = self.letters[rows] > 0
         rows, sizes = rows[some], np.bincount(text[some], minlength=len(texts))
@@ -248,7 +294,7 @@ def predict(docs: DataFrame, model: LanguageModel, text: str = "text", keep: lis
             return out
         return work
 
-    return add_columns(docs, [text], fields, make, keep, rows=TOGETHER)
+    return add_columns(docs, [text], fields, make, keep, rows=max(1, TOGETHER // max(4, len(model.languages))))
 
 
 def _runs(labels: np.ndarray, letters: np.ndarray, names: list[str]) -> list[dict]:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, kept_in_worker, split_remainder, summarise
+from .common import Remembered, add_columns, kept_in_worker, split_remainder, summarise, unused
 
 ROWS = 4096       # rows of the word-vector table
 SHAPES = 512      # the first rows are shapes, the others words
@@ -29,9 +29,6 @@ REACH = 2         # neighbours to either side
 SAMPLE = 8000     # labelled rows the network is fitted on, at most
 HIDDEN = 24
 THRESHOLD = 0.3
-KNOWN = 800_000   # words whose rows a worker remembers
-
-
 
 def index_vectors() -> np.ndarray:
     """Fixed sparse vectors of +1 and -1, one for each row."""
@@ -65,16 +62,12 @@ class Reader:
     """Rows of a text's words and shapes."""
 
     def __init__(self):
-        class Known(dict):
-            def __missing__(self, chunk):
-                word = chunk.strip(".,;:!?()\"'").lower()
-                row = (SHAPES + xxhash.xxh32_intdigest(word) % (ROWS - SHAPES)) * SHAPES \
-                    + xxhash.xxh32_intdigest(shape_of(chunk)) % SHAPES
-                if len(self) < KNOWN:
-                    self[chunk] = row
-                return row
+        def row_of(chunk):
+            word = chunk.strip(".,;:!?()\"'").lower()
+            return (SHAPES + xxhash.xxh32_intdigest(word) % (ROWS - SHAPES)) * SHAPES \
+                + xxhash.xxh32_intdigest(shape_of(chunk)) % SHAPES
 
-        self.known = Known()
+        self.known = Remembered(row_of)
 
     def read(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Word rows, shape rows, and how many words each text has."""
@@ -230,19 +223,22 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     """Word vectors from all of ``docs``; the network from a bounded sample with labels.
 
     Labels are learnt only where crc32(key) mod 5 is not 0. Null labels and
-    keys are left out; a key with several labels or rows counts as often.
+    keys are left out; a key with several labels or rows counts as often. Rows
+    are taken in the order of their keys', labels' and texts' hashes.
     """
     vectors = corpus_vectors(docs, text)
     sample = labelled_sample(labels, label, split_remainder(key, 5) != 0, key)
     chosen = docs.select(key, text).join(F.broadcast(sample), key)
+    last = unused("_order", chosen)
+    chosen = chosen.withColumn(last, F.xxhash64(text))
     features = T.StructField("features", T.ArrayType(T.FloatType()))
 
     def make():
         of = featurer(vectors)
         return lambda texts: [list(of(texts))]
 
-    found = (add_columns(chosen, [text], [features], make, [key, "label"])
-             .orderBy(F.xxhash64(key), "label").limit(SAMPLE).collect())
+    found = (add_columns(chosen, [text], [features], make, [key, "label", last])
+             .orderBy(F.xxhash64(key), "label", last).limit(SAMPLE).collect())
     x = np.array([r["features"] for r in found], np.float64).reshape(len(found), 2 * DIMENSIONS + 4)
     return QualityModel(vectors, fit(x, np.array([r["label"] for r in found], np.float64)))
 

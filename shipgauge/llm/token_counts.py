@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from .common import add_columns, kept_in_worker
+from .common import Remembered, add_columns, kept_in_worker
 
 BLANK = "▁"         # stands for a blank and begins every word
 UNKNOWN_LESS = 10.0  # by how much an unknown character scores less than the least piece
-KNOWN = 400_000
 
 
 def vocabulary(model_file: str) -> list[tuple[str, float]]:
@@ -38,16 +37,7 @@ class Counter:
         self.automaton.make_automaton()
         self.single = {p for p, _ in pieces if len(p) == 1}
         self.unknown = min(s for _, s in pieces) - UNKNOWN_LESS
-        count = self.count_word
-
-        class Words(dict):
-            def __missing__(self, word):
-                n = count(word)
-                if len(self) < KNOWN:
-                    self[word] = n
-                return n
-
-        self.words = Words()
+        self.words = Remembered(self.count_word)
 
     def count_word(self, word: str) -> int:
         """Pieces on the best path through ``word`` (which begins with ``BLANK``)."""

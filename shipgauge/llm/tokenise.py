@@ -7,7 +7,7 @@ import unicodedata
 
 import numpy as np
 
-from .common import kept_in_worker
+from .common import Remembered, kept_in_worker
 
 # Lower-cased text of Latin letters, digits, ASCII marks and blanks, where Python's and the
 # tokenizer's reading agree; and the tokenizer's own split into words on such text (fixed values).
@@ -15,7 +15,6 @@ _PLAIN = re.compile(r"[a-zß-öø-ɏ0-9!-/:-@\[-`{-~ \t\n\r\x0b\x0c]*")
 _WORDS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ɏ]+|[0-9]|[!-/:-@\[-`{-~]+")
 # White space to Python but not to the tokenizer, or lower-cased by context.
 _ODD = re.compile("[\x1c-\x1fΣ]")
-CACHED = 800_000
 
 
 def encoder(path: str) -> Encoder:
@@ -27,7 +26,7 @@ class Encoder:
     """``encode(text)`` gives the ids as little-endian unsigned 32-bit bytes.
 
     White space always separates words and words repeat, so the ids of a word
-    are kept (the first ``CACHED`` words, mostly the frequent ones). Words of plain text go
+    are remembered (the first words met, mostly the frequent ones). Words of plain text go
     straight to the tokenizer's BPE model; all else goes through the tokenizer.
     """
 
@@ -44,15 +43,11 @@ class Encoder:
         shown = {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(rest)}
         tokenize = self.tokenizer.model.tokenize
 
-        class Words(dict):
-            def __missing__(self, word):
-                seen = word if word.isascii() else word.encode().decode("latin-1").translate(shown)
-                found = b"".join([four[x.id] for x in tokenize(seen)])
-                if len(self) < CACHED:
-                    self[word] = found
-                return found
+        def ids_of(word):
+            seen = word if word.isascii() else word.encode().decode("latin-1").translate(shown)
+            return b"".join([four[x.id] for x in tokenize(seen)])
 
-        self.words = Words()
+        self.words = Remembered(ids_of)
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()

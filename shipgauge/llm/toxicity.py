@@ -22,16 +22,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import add_columns, split_remainder, summarise, written
+from .common import Remembered, add_columns, split_remainder, summarise, unused, written
 
 SAMPLE = 10_000        # labelled rows of each class that are learnt from, at most
 SUPPORT = 0.01         # of the toxic sample texts must have a word for it to be considered
 CERTAINTY = 0.01       # chance that any of the words considered is learnt by accident
 BEGINNINGS = (4, 5, 6, 7, 8)  # lengths of word beginnings that may be learnt
-KEYS = 1_000_000       # more words to consider than this are refused
 THRESHOLD = 0.7
 SEED_WEIGHT = 3.0      # of a listed word that the labels say nothing about
-KNOWN = 500_000
 FIGURES = 4
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, WEAK_INSULT, WEAK_THREAT = range(8)
@@ -150,20 +148,15 @@ class Scorer:
     def __init__(self, weights: dict[str, float]):
         self.machine = grammar()
 
-        class Known(dict):
-            def __missing__(self, word):
-                learnt = max((weights[k] for k in keys_of(word) if k in weights), default=0.0)
-                symbol = LISTED.get(word, INSULT if learnt > 0 else OTHER)
-                if symbol not in (INSULT, THREAT):
-                    found = (symbol, 0.0)
-                else:
-                    # a listed insult that the labels speak against has weight 0
-                    found = (symbol, learnt or weights.get(word, SEED_WEIGHT))
-                if len(self) < KNOWN:
-                    self[word] = found
-                return found
-
-        self.known = Known()
+        def symbol_of(word):
+            learnt = max((weights[k] for k in keys_of(word) if k in weights), default=0.0)
+            symbol = LISTED.get(word, INSULT if learnt > 0 else OTHER)
+            if symbol not in (INSULT, THREAT):
+                return symbol, 0.0
+            # a listed insult that the labels speak against has weight 0
+            return symbol, learnt or weights.get(word, SEED_WEIGHT)
+
+        self.known = Remembered(symbol_of)
 
     def clauses(self, text: str | None) -> tuple[list[float], int]:
         """Scores of the clauses that hold an insult or a threat, in order; the number of words."""
@@ -215,8 +208,8 @@ def fit_curve(x: np.ndarray, y: np.ndarray, times: np.ndarray) -> np.ndarray:
     return w
 
 
-def _counted(chosen: DataFrame, text: str, only: frozenset | None) -> DataFrame:
-    """In how many texts each key occurs; ``only``: of the given keys."""
+def _counted(chosen: DataFrame, text: str, name: str) -> DataFrame:
+    """``key`` and in how many texts it occurs."""
     def make():
         counts = Counter()
 
@@ -224,7 +217,7 @@ def _counted(chosen: DataFrame, text: str, only: frozenset | None) -> DataFrame:
             for t in texts:
                 words = {w for w in _TOKEN.findall((t or "").lower()) if w not in ".!?;:\n"}
                 keys = {k for w in words for k in keys_of(w)}
-                counts.update(keys if only is None else keys & only)
+                counts.update(keys)
 
         def finish():
             yield [list(counts), list(counts.values())]
@@ -232,7 +225,7 @@ def _counted(chosen: DataFrame, text: str, only: frozenset | None) -> DataFrame:
         return add, finish
 
     fields = [T.StructField("key", T.StringType()), T.StructField("n", T.LongType())]
-    return summarise(chosen, [text], fields, make).groupBy("key").agg(F.sum("n").alias("n"))
+    return summarise(chosen, [text], fields, make).groupBy("key").agg(F.sum("n").alias(name))
 
 
 def learn_weights(chosen: DataFrame, text: str = "text") -> dict[str, float]:
@@ -240,32 +233,27 @@ def learn_weights(chosen: DataFrame, text: str = "text") -> dict[str, float]:
 
     The share of toxic texts that the bound compares with is that of ``chosen``,
     whose counts it is applied to; log-odds don't depend on it.
-    A key must occur in ``SUPPORT`` of the toxic texts, so the number of keys
-    considered doesn't grow with the corpus; it is checked all the same.
+    A key must occur in ``SUPPORT`` of the toxic texts, and in three. The keys
+    considered, at most 100 times the distinct keys of a mean toxic text, stay
+    in a table; what comes to the driver are the learnt ones and the listed
+    words that the labels speak against.
     """
     sizes = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     if not toxic or not clean:
         return {}
-    often = _counted(chosen.filter("label = 1"), text, None).filter(F.col("n") >= max(3, SUPPORT * toxic))
-    rows = often.limit(KEYS + 1).collect()
-    if len(rows) > KEYS:
-        raise ValueError(f"more than {KEYS} words to consider")
-    seen = {r["key"]: r["n"] for r in rows}
-    against = {r["key"]: r["n"] for r in _counted(chosen.filter("label = 0"), text, frozenset(seen)).collect()}
-    share, needed = toxic / (toxic + clean), np.log(max(len(seen), 1) / CERTAINTY)
-    weights = {}
-    for key, n in seen.items():
-        m = against.get(key, 0)
-        weight = np.log((n + 0.5) / (toxic + 1)) - np.log((m + 0.5) / (clean + 1))
-        q = n / (n + m)
-        # Chernoff bound on seeing so many toxic texts among those with the key by chance
-        surprise = (n + m) * (q * np.log(q / share) + ((1 - q) * np.log((1 - q) / (1 - share)) if m else 0)) if q > share else 0
-        if surprise > needed and weight > 2:
-            weights[key] = float(weight)
-        elif key in LISTED and weight <= 0:
-            weights[key] = 0.0
-    return weights
+    often = _counted(chosen.filter("label = 1"), text, "n").filter(F.col("n") >= max(3, SUPPORT * toxic))
+    against = _counted(chosen.filter("label = 0"), text, "m")
+    seen = written(often.join(against, "key", "left").select("key", "n", F.coalesce("m", F.lit(0)).alias("m")), "toxicity-keys")
+    share, needed = toxic / (toxic + clean), float(np.log(max(seen.count(), 1) / CERTAINTY))
+    n, m, q = F.col("n"), F.col("m"), F.col("n") / (F.col("n") + F.col("m"))
+    weight = F.log((n + 0.5) / (toxic + 1)) - F.log((m + 0.5) / (clean + 1))
+    # Chernoff bound on seeing so many toxic texts among those with the key by chance
+    surprise = (n + m) * (q * F.log(q / share) + F.when(m > 0, (1 - q) * F.log((1 - q) / (1 - share))).otherwise(0))
+    learnt = (q > share) & (surprise > needed) & (weight > 2)
+    rows = (seen.select("key", weight.alias("weight"), learnt.alias("learnt"))
+            .filter(F.col("learnt") | (F.col("weight") <= 0) & F.col("key").isin(*LISTED)).collect())
+    return {r["key"]: r["weight"] if r["learnt"] else 0.0 for r in rows}
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic") -> ToxicityModel:
@@ -274,14 +262,17 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     For the curve, a class's rows count as often as all its labels are to those
     picked, so that scores follow the share of toxic labels at any input size.
     Labels are learnt only where crc32(key) mod 3 is not 1. Null labels and
-    keys are left out; null texts count as empty.
+    keys are left out; null texts count as empty. Rows are taken in the order
+    of their keys', labels' and texts' hashes.
     """
     usable = (labels.filter((split_remainder(key, 3) != 1) & F.col(label).isNotNull() & F.col(key).isNotNull())
               .select(key, F.col(label).cast("int").alias("label")))
     sizes = {r["label"]: r["count"] for r in usable.groupBy("label").count().collect()}
     picked = [usable.filter(F.col("label") == c).orderBy(F.xxhash64(key)).limit(SAMPLE) for c in (0, 1)]
     sample = picked[0].unionByName(picked[1])
-    chosen = written(docs.select(key, text).join(F.broadcast(sample), key), "toxicity-sample")
+    chosen = docs.select(key, text).join(F.broadcast(sample), key)
+    last = unused("_order", chosen)
+    chosen = written(chosen.withColumn(last, F.xxhash64(text)), "toxicity-sample")
     weights = learn_weights(chosen, text)
     figures = T.StructField("figures", T.ArrayType(T.DoubleType()))
 
@@ -289,7 +280,8 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
         scorer = Scorer(weights)
         return lambda texts: [scorer.figures(texts).tolist()]
 
-    rows = add_columns(chosen, [text], [figures], make, [key, "label"]).orderBy(F.xxhash64(key), "label").limit(4 * SAMPLE).collect()
+    rows = (add_columns(chosen, [text], [figures], make, [key, "label", last])
+            .orderBy(F.xxhash64(key), "label", last).limit(4 * SAMPLE).collect())
     x = np.array([r["figures"] for r in rows], float).reshape(len(rows), FIGURES)
     times = np.array([max(1.0, sizes[r["label"]] / SAMPLE) for r in rows], float)
     return ToxicityModel(weights, fit_curve(x, np.array([r["label"] for r in rows], float), times))

@@ -5,7 +5,7 @@ from itertools import product
 import numpy as np
 from pyspark.sql import functions as F
 
-from shipgauge.llm.langid import GRAM_ROWS, SCRIPTS, Grams, identify, letters_of, predict, train, viterbi
+from shipgauge.llm.langid import GRAM_ROWS, SCRIPTS, Grams, Labeller, identify, letters_of, predict, train, viterbi
 
 
 def test_scripts():
@@ -70,3 +70,107 @@ def test_nulls_repeats_clashes_and_empty_tables(spark):
     assert identify(docs.limit(0)).count() == 0
     unlabelled = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r.lang_pred for r in identify(unlabelled).collect()} == {"und"}
+
+
+def _plain_model(rows):
+    """Counts of grams and of letters by script, one letter after another, for each language."""
+    grams, scripts = {}, {}
+    for text, lang in rows:
+        for word in filter(None, (letters_of(c) for c in text.split())):
+            framed = "\x02" + word + "\x03"
+            for n in (1, 2, 3):
+                for i in range(len(framed) - n + 1):
+                    cut = framed[i:i + n]
+                    if n > 1 or cut in word:
+                        value = 0
+                        for c in cut:
+                            value = (value * 1_000_003 + ord(c)) % 2 ** 64
+                        row = ((value + n) * 0x9E3779B97F4A7C15 % 2 ** 64 >> 40) % GRAM_ROWS
+                        grams[lang, row] = grams.get((lang, row), 0) + 1
+            for c in word:
+                scripts[lang, _script(c)] = scripts.get((lang, _script(c)), 0) + 1
+    return grams, scripts
+
+
+def _script(c):
+    from shipgauge.llm.langid import _RANGES
+
+    return [name for start, name in _RANGES if start <= ord(c)][-1]
+
+
+def _plain_label(text, languages, grams, scripts, seen, letters):
+    """Language with most letters and its share, by plain loops over words and languages."""
+    words = [w for w in (letters_of(c) for c in (text or "").split()) if w]
+    best, paths = {x: 0.0 for x in languages}, {x: [] for x in languages}
+    known = {}
+    for t, word in enumerate(words):
+        if word not in known:
+            own, kinds = _plain_model([(word, None)])
+            kinds = {s: n for (_, s), n in kinds.items()}
+            script = max(SCRIPTS, key=lambda s: (kinds.get(s, 0), -SCRIPTS.index(s)))
+            score = {x: sum(n * np.log((grams.get((x, r), 0) + 0.5) / seen[x]) for (_, r), n in own.items()) for x in languages}
+            allowed = {x for x in languages if scripts.get((x, script), 0) >= 0.005 * letters[x]}
+            top = max((score[x] for x in allowed), default=0.0)
+            low = min((score[x] - top for x in allowed), default=0.0) - 8.0
+            known[word] = {x: (score[x] - top if x in allowed else low) if allowed else 0.0 for x in languages}
+        if t:
+            top = max(languages, key=lambda x: best[x])
+            new = {x: (best[top] - 8.0, top) if best[top] - 8.0 > best[x] else (best[x], x) for x in languages}
+            best, paths = {x: v for x, (v, _) in new.items()}, {x: paths[y] for x, (_, y) in new.items()}
+        best, paths = {x: best[x] + known[word][x] for x in languages}, {x: [*paths[x], x] for x in languages}
+    if not words:
+        return "und", 0.0
+    last = max(languages, key=lambda x: best[x])
+    share = {x: sum(len(w) for w, y in zip(words, paths[last]) if x == y) for x in languages}
+    top = max(languages, key=lambda x: share[x])
+    return top, share[top] / sum(share.values())
+
+
+def test_query_equals_brute_force(spark):
+    from zlib import crc32
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
+    learn = [(r.text, r.lang) for r in docs if crc32(str(r.doc_id).encode()) % 4 != 2 and r.lang and r.text is not None]
+    grams, scripts = _plain_model(learn)
+    languages = sorted({x for _, x in learn})
+    seen = {x: sum(n for (y, _), n in grams.items() if y == x) + 0.5 * GRAM_ROWS for x in languages}
+    letters = {x: max(1, sum(n for (y, _), n in scripts.items() if y == x)) for x in languages}
+    got = {r.doc_id: r for r in identify(spark.createDataFrame(docs).repartition(5)).collect()}
+    assert len(got) == len(docs)
+    for r in docs:
+        if len((r.text or "").split()) <= 2000:  # lists of paths grow with the square of a text's words
+            lang, score = _plain_label(r.text, languages, grams, scripts, seen, letters)
+            assert got[r.doc_id].lang_pred == lang and abs(got[r.doc_id].score - score) < 1e-9, r.doc_id
+
+
+def test_any_number_of_languages(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    many = docs.unionByName(spark.createDataFrame([(10_000 + i, f"zzq{i} qqx{i} " * 3, f"x{i:04}") for i in range(700)], docs.schema))
+    got = {r.doc_id: r for r in identify(many).collect()}
+    assert len(got) == docs.count() + 700
+    plain = {r.doc_id: r for r in identify(docs).collect()}
+    same = sum(got[i].lang_pred == r.lang_pred for i, r in plain.items())
+    assert same >= 0.97 * len(plain)
+    # the model as a full table and as what occurs of it score alike
+    small = many.filter("doc_id < 10030")
+    learnt = train(small, F.lit(True))
+    texts = [r.text for r in small.collect()]
+    full, rest = Labeller(learnt), Labeller(learnt)
+    rest.grams = None
+    words = sorted({w for t in texts for w in (letters_of(c) for c in (t or "").split()) if w})
+    found = Grams(words)
+    assert full.grams is not None and np.abs(full.sums(found) - rest.sums(found)).max() < 1e-3
+
+
+def test_long_words_are_not_remembered(spark, monkeypatch):
+    docs = spark.createDataFrame([("the cat sat", "en"), ("le chat noir", "fr")], "text string, lang string")
+    texts = ["the " + "x" * 1_000_000, "le chat " + "é" * 70, "the cat"] * 3
+    whole = Labeller(train(docs, F.lit(True)))
+    want = [x.tolist() for x in whole.label(texts)]
+    assert max(map(len, whole.rows)) <= 64
+    for limit in (0, 300):  # forgets at every slice, at some
+        monkeypatch.setattr("shipgauge.llm.langid.REMEMBERED", limit)
+        part, got = Labeller(whole.model), []
+        for t in texts:
+            got.append([x.tolist() for x in part.label([t])])
+        assert [[y for x in got for y in x[i]] for i in range(3)] == want
