@@ -1,6 +1,7 @@
 """Language identification for texts that may mix languages.
 
-The script of a word's letters narrows the candidate languages. Character
+A word is a run of non-blanks, cut where the script changes; the script of its
+letters narrows the candidate languages. Character
 1- to 3-grams, hashed into a table of fixed size, score each candidate for each
 word. Viterbi with a penalty for switching labels the words, and runs of one
 label are the text's spans.
@@ -8,9 +9,11 @@ label are the text's spans.
 
 from __future__ import annotations
 
+import re
 import sys
 from collections import Counter, defaultdict
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -42,8 +45,39 @@ _STARTS, _NAMES = [a for a, _ in _RANGES], [SCRIPTS.index(s) for _, s in _RANGES
 _FIRST, _LAST = "\x02", "\x03"  # stand for a word's ends
 
 
+@cache
+def _changes() -> tuple[re.Pattern, re.Pattern]:
+    """(a letter of a script but Latin, the places where a letter is followed by one of another script).
+
+    Han and kana count as one script, which Japanese words mix; letters of
+    unlisted scripts and non-letters but blanks may stand between.
+    """
+    letters: dict[str, list[str]] = defaultdict(list)
+    for (start, name), end in zip(_RANGES, _STARTS[1:], strict=False):
+        if name == "other":
+            continue
+        found = [i for i in range(start, end) if chr(i).isalpha()]
+        first = [i for i in found if i == start or not chr(i - 1).isalpha()]
+        last = [i for i in found if i == end - 1 or not chr(i + 1).isalpha()]
+        letters["han" if name == "kana" else name] += [f"{chr(a)}-{chr(b)}" for a, b in zip(first, last, strict=True)]
+    kinds = {name: "".join(runs) for name, runs in letters.items()}
+    between = rf"[^\s{''.join(kinds.values())}]*"
+    rest = {name: "".join(k for n, k in kinds.items() if n != name) for name in kinds}
+    return re.compile(f"[{rest['latin']}]"), re.compile("|".join(f"(?<=[{kinds[n]}])(?={between}[{rest[n]}])" for n in kinds))
+
+
+def chunks_of(text: str | None) -> list[str]:
+    """Runs of non-blanks, cut where the script of their letters changes."""
+    text = text or ""
+    if not text.isascii():
+        beyond, change = _changes()
+        if beyond.search(text):
+            text = change.sub(" ", text)
+    return text.split()
+
+
 def letters_of(chunk: str) -> str:
-    """The letters of a run of non-blanks, lower-cased: a word."""
+    """The letters of a chunk, lower-cased: a word."""
     low = chunk.lower()
     return low if low.isalpha() else "".join([c for c in low if c.isalpha()])
 
@@ -132,7 +166,7 @@ def train(docs: DataFrame, learn_from: Column, text: str = "text", lang: str = "
         def add(texts, names):
             nonlocal read
             for t, name in zip(texts, names, strict=True):
-                waiting[number[name]].update(t.split())
+                waiting[number[name]].update(chunks_of(t))
                 read += len(t)
                 if read > WAITING[1]:
                     flush()
@@ -238,7 +272,7 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Letters of every word with any, how many such words each text has, and the words' labels."""
-        chunks = [(t or "").split() for t in texts]
+        chunks = [chunks_of(t) for t in texts]
         if self.taken > REMEMBERED:
             self.forget()
         new = list({c for cs in chunks for c in cs}.difference(self.rows))
@@ -304,7 +338,7 @@ def _runs(labels: np.ndarray, letters: np.ndarray, names: list[str]) -> list[dic
 
 
 def identify(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
-    """Predictions for all documents, learnt where crc32(key) mod 4 is not 2."""
+    """Predictions and spans for all documents, learnt where crc32(key) mod 4 is not 2."""
     held = split_remainder(key, 4) == 2
     model = train(docs, ~held, text, lang)
-    return predict(docs, model, text, [key]).select(key, held.alias("held_out"), "lang_pred", "score")
+    return predict(docs, model, text, [key], spans=True).select(key, held.alias("held_out"), "lang_pred", "score", "spans")

@@ -78,7 +78,10 @@ def op9_winnowing(spark, sf_dir):
 
 
 def op10_language(spark, sf_dir):
-    return langid.identify(_table(spark, sf_dir, "documents"))
+    found = langid.identify(_table(spark, sf_dir, "documents"))
+    # spans as lang:words:letters, in order
+    parts = F.transform("spans", lambda s: F.concat_ws(":", s["lang"], s["words"], s["letters"]))
+    return found.withColumn("spans", F.array_join(parts, ","))
 
 
 def op11_whitening(spark, sf_dir):

@@ -19,11 +19,17 @@ UNKNOWN_LESS = 10.0  # by how much an unknown character scores less than the lea
 
 
 def vocabulary(model_file: str) -> list[tuple[str, float]]:
-    """Pieces and scores of a ``sentencepiece`` file, in the order of their ids."""
+    """Pieces that stand for text and their scores, of a ``sentencepiece`` file, in the order of their ids.
+
+    Control, byte and unknown pieces are left out: ``<s>`` or ``<0x0A>`` in a
+    text are characters like others.
+    """
     from sentencepiece import SentencePieceProcessor
 
     model = SentencePieceProcessor(model_file=model_file)
-    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())]
+    marks = (model.is_control, model.is_byte, model.is_unknown, model.is_unused)
+    return [(model.id_to_piece(i), model.get_score(i)) for i in range(model.get_piece_size())
+            if not any(mark(i) for mark in marks)]
 
 
 class Counter:

@@ -5,7 +5,7 @@ from itertools import product
 import numpy as np
 from pyspark.sql import functions as F
 
-from shipgauge.llm.langid import GRAM_ROWS, SCRIPTS, Grams, Labeller, identify, letters_of, predict, train, viterbi
+from shipgauge.llm.langid import GRAM_ROWS, SCRIPTS, Grams, Labeller, chunks_of, identify, letters_of, predict, train, viterbi
 
 
 def test_scripts():
@@ -15,6 +15,16 @@ def test_scripts():
     assert [SCRIPTS[i] for i in found.script] == list(words)
 
 
+def test_words_end_where_the_script_changes():
+    assert chunks_of("東京hello мир-world, λ1x") == ["東京", "hello", "мир", "-world,", "λ", "1x"]
+    assert chunks_of("日本のひらがな ab-cd «мир·мир» é°ä ქართულიabc") == ["日本のひらがな", "ab-cd", "«мир·мир»", "é°ä", "ქართულიabc"]
+    assert chunks_of(None) == chunks_of(" \n") == [] and chunks_of("abc" * 3) == ["abcabcabc"]
+    rng = np.random.default_rng(5)
+    for _ in range(300):
+        text = "".join(rng.choice(list("aéжλ日ひ ა·1-"), rng.integers(0, 14)))
+        assert chunks_of(text) == _plain_chunks(text), text
+
+
 def test_grams_are_those_of_each_word():
     words = ["abc", "é", "abab", "日本"]
     found = Grams(words)
@@ -55,6 +65,10 @@ def test_mixed_text_has_spans(spark):
     mixed = spark.createDataFrame([(en + "\n" + fr,)], "text string")
     spans = predict(mixed, model, spans=True).first()["spans"]
     assert spans[0]["lang"] == "en" and spans[-1]["lang"] == "fr" and len(spans) <= 6
+    rows = [("the cat sat on the mat", "en"), ("東京の天気は晴れ", "ja")] * 3
+    joined = spark.createDataFrame([("東京hello",)], "text string")
+    found = predict(joined, train(spark.createDataFrame(rows, "text string, lang string"), F.lit(True)), spans=True).first()
+    assert [(s.lang, s.words, s.letters) for s in found.spans] == [("ja", 1, 2), ("en", 1, 5)] and found.lang_pred == "en"
 
 
 def test_nulls_repeats_clashes_and_empty_tables(spark):
@@ -72,11 +86,27 @@ def test_nulls_repeats_clashes_and_empty_tables(spark):
     assert {r.lang_pred for r in identify(unlabelled).collect()} == {"und"}
 
 
+def _plain_chunks(text):
+    """Cut right after the last letter of a script that a letter of another one follows."""
+    out = []
+    for run in (text or "").split():
+        begin, last = 0, None
+        for i, c in enumerate(run):
+            script = {"kana": "han"}.get(_script(c), _script(c))
+            if c.isalpha() and script != "other":
+                if last is not None and last[1] != script:
+                    out.append(run[begin:last[0] + 1])
+                    begin = last[0] + 1
+                last = (i, script)
+        out.append(run[begin:])
+    return out
+
+
 def _plain_model(rows):
     """Counts of grams and of letters by script, one letter after another, for each language."""
     grams, scripts = {}, {}
     for text, lang in rows:
-        for word in filter(None, (letters_of(c) for c in text.split())):
+        for word in filter(None, (letters_of(c) for c in _plain_chunks(text))):
             framed = "\x02" + word + "\x03"
             for n in (1, 2, 3):
                 for i in range(len(framed) - n + 1):
@@ -100,7 +130,7 @@ def _script(c):
 
 def _plain_label(text, languages, grams, scripts, seen, letters):
     """Language with most letters and its share, by plain loops over words and languages."""
-    words = [w for w in (letters_of(c) for c in (text or "").split()) if w]
+    words = [w for w in (letters_of(c) for c in _plain_chunks(text)) if w]
     best, paths = {x: 0.0 for x in languages}, {x: [] for x in languages}
     known = {}
     for t, word in enumerate(words):

@@ -11,8 +11,13 @@ PATH = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def unigram(pieces):
+    """The library's model; bytes cost as much as its least piece, so that no text is read as the name of a byte."""
     from tokenizers import Tokenizer, models, pre_tokenizers
 
+    known, least = {p for p, _ in pieces}, min(s for _, s in pieces)
+    marks = ["<unk>", *(f"<0x{b:02X}>" for b in range(256))]
+    pieces = [*((m, least) for m in marks if m not in known), *pieces]
+
     t = Tokenizer(models.Unigram(pieces, unk_id=0, byte_fallback=True))
     t.pre_tokenizer = pre_tokenizers.Metaspace(replacement="▁", prepend_scheme="always", split=True)
     return t
@@ -33,6 +38,13 @@ def test_odd_texts(both):
         assert counter.count(text) == len(tokenizer.encode(text).ids), text
 
 
+def test_names_of_marks_are_plain_text(both):
+    counter, tokenizer = both
+    assert not {"<s>", "</s>", "<unk>", "<0x0A>"} & {p for p, _ in vocabulary(PATH)}
+    for text in ("x<0x0A>y", "<s>", "a</s>b <unk>", "<0x0A>"):
+        assert counter.count(text) == len(tokenizer.encode(text).ids) > 2
+
+
 def test_ties_follow_the_tokenizer():
     rng = random.Random(8)
     for _ in range(40):
